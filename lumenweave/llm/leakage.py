@@ -51,8 +51,9 @@ class Hasher:
         import xxhash
 
         known = self.known
-        for w in set(words) - known.keys():
-            known[w] = xxhash.xxh3_64_intdigest(w)
+        for w in set(words):
+            if w not in known:
+                known[w] = xxhash.xxh3_64_intdigest(w)
         return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
 
     def forget(self, limit: int = 1_000_000) -> None:
@@ -100,17 +101,25 @@ class Items:
         self.hashes = np.sort(np.fromiter(by_hash, dtype=np.uint64, count=len(by_hash)))
         self.by_hash = dict(by_hash)
 
-    def leaked(self, words: list[str], hashes: np.ndarray) -> set[int]:
-        """Items with a window in the document, looked for only where the document's MinHash is one of theirs."""
+    def leaked(self, words: list[str], hashes: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
+        """``(text, item)`` for texts laid end to end, the n-th up to ``ends[n]``: items with a window in the text.
+
+        A window is looked at only where its MinHash is one of the items'; those across two texts are passed over.
+        """
         least = window_minhashes(hashes, self.window, self.shingle)
         if not len(least) or not len(self.hashes):
-            return set()
+            return []
         at = np.searchsorted(self.hashes, least)
         at[at == len(self.hashes)] = 0
-        out: set[int] = set()
-        for i in np.flatnonzero(self.hashes[at] == least).tolist():  # window i starts with word i
-            out |= self.windows.get(tuple(words[i : i + self.window]), set()) & self.by_hash[int(least[i])]
-        return out
+        hits = np.flatnonzero(self.hashes[at] == least)  # window i starts with word i
+        of = np.searchsorted(ends, hits, side="right")
+        inside = hits + self.window <= ends[of]
+        out: set[tuple[int, int]] = set()
+        for i, text in zip(hits[inside].tolist(), of[inside].tolist()):
+            there = self.windows.get(tuple(words[i : i + self.window]))
+            if there:
+                out |= {(text, item) for item in there & self.by_hash[int(least[i])]}
+        return sorted(out)
 
 
 def _keyed(df: DataFrame, key: str) -> DataFrame:
@@ -133,11 +142,11 @@ def _by_broadcast(documents: DataFrame, items: DataFrame, window: int, shingle:
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index, hasher = Items(sent.value, window, shingle), Hasher()
         for batch in batches:
-            pairs = []
-            for doc, text in zip(batch["doc_id"].tolist(), batch["text"]):
-                words = words_of(text)
-                if len(words) >= window:
-                    pairs += [(doc, item) for item in index.leaked(words, hasher.words(words))]
+            docs, words, ends = batch["doc_id"].tolist(), [], []
+            for text in batch["text"]:
+                words += words_of(text)
+                ends.append(len(words))
+            pairs = [(docs[n], item) for n, item in index.leaked(words, hasher.words(words), np.array(ends))] if words else []
             hasher.forget()
             yield pd.DataFrame(pairs, columns=["doc_id", "item_id"])
 
