@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +17,7 @@ BROADCAST_ROWS = 200_000
 
 _written: list[tuple[SparkSession, str]] = []
 _local: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +50,28 @@ def materialise(df: DataFrame, partition_by: list[str] | None = None) -> DataFra
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession | None = None) -> None:
+    """Lets Spark delete the shuffle files of finished plans now: they go when the driver collects its garbage."""
+    gc.collect()
+    spark = spark or SparkSession.getActiveSession()
+    if spark is not None and hasattr(spark, "_jvm"):
+        spark._jvm.System.gc()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application, for clusters on whose path it isn't."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="lumenweave-")) / "lumenweave.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for path in sorted(root.rglob("*.py")):
+            z.write(path, path.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(app)
+
+
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     """Whether ``df`` has at most ``limit`` rows; counts no more than ``limit + 1``."""
     return df.limit(limit + 1).count() <= limit
