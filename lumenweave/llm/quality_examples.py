@@ -100,7 +100,7 @@ EXAMPLES: list[tuple[str, str, list[str]]] = [
     ]),
     ("junk", "symbols", [
         "~# _@ %{|[&[+}]  %;=<|$\\>&>:;&!/;;/|}!/{} &*|$%$_!+>_&+{*|%/?@>^$]\\@*#]  %<~!>?&> << |<%/>& ~>?;}>$/&@$^% :&=@]>!$$:%~",
-        "\\%<]]? ]];][;\\_>>} [}>{}<+%$~#<|^ ?=}_;%;<{:/]|}<|*{%;~ ^ \\#[ :{]+[<[_@/\;+!\\: ;/ |[^}^^]_|;||+|[!^@ $",
+        "\\%<]]? ]];][;\\_>>} [}>{}<+%$~#<|^ ?=}_;%;<{:/]|}<|*{%;~ ^ \\#[ :{]+[<[_@/\\;+!\\: ;/ |[^}^^]_|;||+|[!^@ $",
     ]),
     ("junk", "codes", [
         "d52802be3c1a3df07c67de29938791ef9a1f393bdb8bf015694e52851a6119ca3fa79ab45a30e983858ee77cb5efc79a75a924a9ff1c6ff1f339a84ac9a4c657535589",

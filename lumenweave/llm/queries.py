@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from . import leakage_queries, mixing_queries, neardup_queries, packing_queries, quality_queries
+from . import leakage_queries, mixing_queries, neardup_queries, packing_queries, pair_queries, quality_queries
 
-MODULES = [mixing_queries, neardup_queries, packing_queries, leakage_queries, quality_queries]
+MODULES = [pair_queries, mixing_queries, neardup_queries, packing_queries, leakage_queries, quality_queries]
