@@ -31,12 +31,10 @@ from pyspark.sql import functions as F
 
 from ..session import broadcast_if_small, materialise
 
-WORD = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*")
 IMAGE = re.compile(r"<image>")
 #: Ends of a sentence, with what may close after them.
 END = re.compile(r"(?:[.!?。！？]|[.!?,][\"”»“’']|[\"”»“’')\]]|[^\w\s,;:…\-–—/(\[{„«&#<>=+*'\"‘]|�)[\"”»“’')\]\s]*$")
 MARK = re.compile(r"(?:\.\.\.+|…|�)\s*$")
-SPLIT = re.compile(r"\n+|(?<=[.!?。！？])\s+")
 OPTION = re.compile(r"^\s*\(?[A-Z][.)]\s+(?=\S)")
 
 #: Least count of a word of the trie, and of a word or word pair that is judged by how it ends.
@@ -51,14 +49,14 @@ TYPE_SHARE, TYPE_ODDS, TYPE_END_SHARE = 0.975, 2.0, 0.03
 #: A length is a limit if this many times more open values have it than the lengths within ``AROUND`` have on average.
 LIMIT_FACTOR, LIMIT_COUNT, LIMIT_CHARS, AROUND = 4.0, 5, 100, 8
 
-EVIDENCE = "export_id bigint, turn_no int, image_source string, n_chars int, marked boolean, open_pair boolean, last_word string, word_before string, words array<string>, a string, b string, n bigint, ends bigint"
+#: A partition's counts are handed on when they have this many entries.
+FLUSH = 1_000_000
 
+EVIDENCE = "export_id bigint, turn_no int, image_source string, found array<string>, n_chars int, marked boolean, open_pair boolean, last_word string, word_before string, words array<string>, a string, b string, n bigint, ends bigint"
+FIELDS = tuple(f.split()[0] for f in EVIDENCE.split(", "))
 
-def _tail(value: str) -> tuple[list[str], str]:
-    """Segments of a value without image tags, and its text."""
-    text = IMAGE.sub(" ", value) if "<image>" in value else value
-    text = text.strip()
-    return [s for s in SPLIT.split(text) if s and not s.isspace()], text
+TOKEN = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*|\n|[.!?。！？](?=\s)")
+_BREAK, _PLAIN_END = frozenset("\n.!?。！？"), frozenset(".!?")
 
 
 def _open_pair(text: str) -> bool:
@@ -66,55 +64,104 @@ def _open_pair(text: str) -> bool:
     return text.endswith(",") or text.count('"') % 2 == 1 or text.count("(") > text.count(")") or text.count("„") > text.count("“") + text.count("”") or text.count("«") > text.count("»") or text.count("“") > text.count("”") and "„" not in text
 
 
+class Collector:
+    """Counts of words and their ends over many values, and the values without an end."""
+
+    def __init__(self) -> None:
+        self.pairs: Counter = Counter()  # (word before, word, whether an end follows)
+        self.types: Counter = Counter()
+        self.closed: Counter = Counter()
+        self.clear()
+
+    def clear(self) -> None:
+        self.tokens: list[str] = []
+        self.last: list[str] = []
+        self.last_closed: list[str] = []
+        self.tails: list[tuple] = []
+
+    def add(self, key: int, turn: int, source: str | None, value: str) -> None:
+        text = (IMAGE.sub(" ", value) if "<image>" in value else value).strip()
+        tokens = TOKEN.findall(text.lower())
+        at = len(tokens)
+        while at and tokens[at - 1] in _BREAK:
+            at -= 1
+        if not at:
+            return
+        del tokens[at:]
+        while at and tokens[at - 1] not in _BREAK:
+            at -= 1
+        words = tokens[at:]
+        if text[-1] in _PLAIN_END and not text.endswith(".."):
+            mark, done = None, True
+        else:
+            mark = MARK.search(text)
+            done = not mark and END.search(text) is not None
+        kinds = set(words)
+        kinds.add("")
+        self.last += kinds
+        if done:
+            self.last_closed += kinds
+        else:
+            bare = text[: mark.start()] if mark else text
+            start = text.rfind("\n") + 1
+            self.tails.append((key, turn, source, None, len(value), mark is not None, _open_pair(bare), words[-1], words[-2] if len(words) > 1 else "", words[1:] if OPTION.match(text[start:]) and len(words) > 1 else words, None, None, None, None))
+            tokens.pop()  # the last word may be a piece of one: it isn't counted
+        self.tokens += tokens
+        self.tokens.append("\n")
+
+    def batch_rows(self) -> list[tuple]:
+        """Values without an end so far; what was counted goes to the partition's counts."""
+        tokens = ["\n", *self.tokens, "\n"]
+        self.pairs.update(zip(tokens, tokens[1:], map(_BREAK.__contains__, tokens[2:])))
+        self.types.update(self.last)
+        self.closed.update(self.last_closed)
+        tails = self.tails
+        self.clear()
+        return tails
+
+    def counts(self) -> Iterator[pd.DataFrame]:
+        """The partition's counts: word pairs (``a`` empty where a segment begins), and words of last segments."""
+        pairs: dict[tuple[str, str], list[int]] = {}
+        for (a, b, end), n in self.pairs.items():
+            if b in _BREAK:
+                continue
+            entry = pairs.setdefault(("" if a in _BREAK else a, b), [0, 0])
+            entry[0] += n
+            entry[1] += n * end
+        types = [(a, None, n, self.closed.get(a, 0)) for a, n in self.types.items()]
+        rows = [(a, b, n, e) for (a, b), (n, e) in pairs.items()] + types
+        self.pairs.clear()
+        self.types.clear()
+        self.closed.clear()
+        if rows:
+            yield frame([(None,) * 10 + r for r in rows])
+
+
+def frame(rows: list[tuple]) -> pd.DataFrame:
+    """Rows of ``EVIDENCE``."""
+    out = pd.DataFrame(rows, columns=list(FIELDS))
+    return out.astype({"export_id": "Int64", "turn_no": "Int32", "n_chars": "Int32", "n": "Int64", "ends": "Int64", "marked": "boolean", "open_pair": "boolean"})
+
+
 def evidence(turns: DataFrame) -> DataFrame:
     """Counts and open ends of ``turns(export_id, turn_no, image_source, value)`` in one table.
 
-    Rows with ``export_id`` are values without an end; rows with ``a`` are counts: ``b`` null for words, else word pairs
-    (``a`` then ``b``); rows of words of last sentences have ``a`` with ``b`` empty. ``ends`` is the part of ``n`` at an end.
+    Rows with ``n_chars`` are values without an end; rows with ``n`` are counts: of word pairs (``a`` then ``b``), or with
+    ``b`` null of words of last segments (``a`` empty: of the segments). ``ends`` is the part of ``n`` at an end.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        collector = Collector()
         for batch in batches:
-            inside, ending, types, closed = Counter(), Counter(), Counter(), Counter()
-            tails = []
             for key, turn, source, value in zip(batch["export_id"].tolist(), batch["turn_no"].tolist(), batch["image_source"], batch["value"]):
-                if not value:
-                    continue
-                segments, text = _tail(value)
-                last = len(segments) - 1
-                for i, segment in enumerate(segments):
-                    words = WORD.findall(segment.lower())
-                    if not words:
-                        continue
-                    pair = (words[-2] if len(words) > 1 else "", words[-1])
-                    if i < last:
-                        inside.update(zip(words, words[1:]))
-                        ending[pair] += 1
-                        continue
-                    mark = MARK.search(text)
-                    done = not mark and END.search(text) is not None
-                    types.update(set(words))
-                    types[""] += 1
-                    # the last word at an open end may be a piece of one: it isn't counted
-                    inside.update(zip(words, words[1:] if done else words[1:-1]))
-                    if done:
-                        ending[pair] += 1
-                        closed.update(set(words))
-                        closed[""] += 1
-                    else:
-                        bare = text[: mark.start()] if mark else text
-                        option = OPTION.match(segment)
-                        # a mark or a word character must follow the last word at once, else there is no word that is cut
-                        tails.append((key, turn, source, len(value), bool(mark), _open_pair(bare), words[-1], pair[0], words[1:] if option else words))
-            # a pair inside is followed by a further word unless it is the last one of its segment
-            rows = [(a, b, n, ending.get((a, b), 0)) for (a, b), n in inside.items()] + [("", b, n, n) for (a, b), n in ending.items() if not a]
-            frames = [pd.DataFrame([(None, None, None, None, None, None, None, None, None, a, b, n, e) for a, b, n, e in rows])]
-            frames.append(pd.DataFrame([(None, None, None, None, None, None, None, None, None, a, None, n, closed.get(a, 0)) for a, n in types.items()]))
-            frames.append(pd.DataFrame([(*t, None, None, None, None) for t in tails]))
-            for f in frames:
-                if len(f):
-                    f.columns = ["export_id", "turn_no", "image_source", "n_chars", "marked", "open_pair", "last_word", "word_before", "words", "a", "b", "n", "ends"]
-                    yield f.astype({"export_id": "Int64", "turn_no": "Int32", "n_chars": "Int32", "n": "Int64", "ends": "Int64", "marked": "boolean", "open_pair": "boolean"})
+                if value:
+                    collector.add(key, turn, source, value)
+            tails = collector.batch_rows()
+            if tails:
+                yield frame(tails)
+            if len(collector.pairs) > FLUSH:
+                yield from collector.counts()
+        yield from collector.counts()
 
     return turns.select("export_id", "turn_no", "image_source", "value").mapInPandas(count, EVIDENCE)
 
@@ -133,13 +180,15 @@ def trie_nodes(words: DataFrame) -> DataFrame:
     return words.where(F.length("word") > 1).select("n", F.explode(prefixes).alias("prefix")).groupBy("prefix").agg(F.sum("n").alias("below"))
 
 
-def cut_values(turns: DataFrame) -> DataFrame:
-    """Open ends ``(export_id, turn_no, image_source, reason, ...)``, each once, with the reason why it is cut, or null."""
-    rows = materialise(evidence(turns))
-    tails = rows.where("export_id is not null").drop("a", "b", "n", "ends").dropDuplicates(["export_id", "turn_no"])
-    counts = rows.where("export_id is null").select("a", "b", "n", "ends")
-    pairs = counts.where("b is not null").groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("ends").alias("ends"))
-    types = counts.where("b is null").groupBy("a").agg(F.sum("n").alias("n"), F.sum("ends").alias("ends"))
+def cut_values(rows: DataFrame) -> DataFrame:
+    """Open ends ``(export_id, turn_no, image_source, reason, ...)``, each once, with the reason why it is cut, or null.
+
+    ``rows`` is a written table of :func:`evidence`.
+    """
+    tails = materialise(rows.where("n_chars is not null").drop("found", "a", "b", "n", "ends").dropDuplicates(["export_id", "turn_no"]))
+    # rows of words of last segments have no b: both counts are summed at once
+    counts = materialise(rows.where("n is not null").groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("ends").alias("ends")))
+    pairs, types = counts.where("b is not null"), counts.where("b is null").drop("b")
     words = pairs.groupBy(F.col("b").alias("word")).agg(F.sum("n").alias("n"), F.sum("ends").alias("ends"))
     open_tails = tails.where("not marked and not open_pair")
     nodes = trie_nodes(words.where((F.col("n") >= TRIE_COUNT) & ~F.col("word").rlike("[0-9]")))
