@@ -25,7 +25,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,7 +56,7 @@ EVIDENCE = "export_id bigint, turn_no int, image_source string, found array<stri
 FIELDS = tuple(f.split()[0] for f in EVIDENCE.split(", "))
 
 TOKEN = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*|\n|[.!?。！？](?=\s)")
-_BREAK, _PLAIN_END = frozenset("\n.!?。！？"), frozenset(".!?")
+BREAK, _PLAIN_END = frozenset("\n.!?。！？"), frozenset(".!?")
 
 
 def _open_pair(text: str) -> bool:
@@ -79,16 +79,17 @@ class Collector:
         self.last_closed: list[str] = []
         self.tails: list[tuple] = []
 
-    def add(self, key: int, turn: int, source: str | None, value: str) -> None:
+    def add(self, key: int, turn: int, source: str | None, value: str) -> list[str]:
+        """Takes in a value; returns its tokens, words and breaks in lower case."""
         text = (IMAGE.sub(" ", value) if "<image>" in value else value).strip()
         tokens = TOKEN.findall(text.lower())
         at = len(tokens)
-        while at and tokens[at - 1] in _BREAK:
+        while at and tokens[at - 1] in BREAK:
             at -= 1
         if not at:
-            return
+            return []
         del tokens[at:]
-        while at and tokens[at - 1] not in _BREAK:
+        while at and tokens[at - 1] not in BREAK:
             at -= 1
         words = tokens[at:]
         if text[-1] in _PLAIN_END and not text.endswith(".."):
@@ -104,43 +105,51 @@ class Collector:
         else:
             bare = text[: mark.start()] if mark else text
             start = text.rfind("\n") + 1
-            self.tails.append((key, turn, source, None, len(value), mark is not None, _open_pair(bare), words[-1], words[-2] if len(words) > 1 else "", words[1:] if OPTION.match(text[start:]) and len(words) > 1 else words, None, None, None, None))
-            tokens.pop()  # the last word may be a piece of one: it isn't counted
+            self.tails.append((key, turn, source, None, len(value), mark is not None, _open_pair(bare), words[-1], words[-2] if len(words) > 1 else "", words[1:] if OPTION.match(text[start:]) and len(words) > 1 else words))
         self.tokens += tokens
+        if not done:
+            self.tokens.pop()  # the last word may be a piece of one: it isn't counted
         self.tokens.append("\n")
+        return tokens
 
     def batch_rows(self) -> list[tuple]:
         """Values without an end so far; what was counted goes to the partition's counts."""
         tokens = ["\n", *self.tokens, "\n"]
-        self.pairs.update(zip(tokens, tokens[1:], map(_BREAK.__contains__, tokens[2:])))
+        self.pairs.update(zip(tokens, tokens[1:], map(BREAK.__contains__, tokens[2:])))
         self.types.update(self.last)
         self.closed.update(self.last_closed)
         tails = self.tails
         self.clear()
         return tails
 
-    def counts(self) -> Iterator[pd.DataFrame]:
+    def counts(self) -> Iterator[pa.RecordBatch]:
         """The partition's counts: word pairs (``a`` empty where a segment begins), and words of last segments."""
         pairs: dict[tuple[str, str], list[int]] = {}
         for (a, b, end), n in self.pairs.items():
-            if b in _BREAK:
+            if b in BREAK:
                 continue
-            entry = pairs.setdefault(("" if a in _BREAK else a, b), [0, 0])
+            entry = pairs.setdefault(("" if a in BREAK else a, b), [0, 0])
             entry[0] += n
             entry[1] += n * end
-        types = [(a, None, n, self.closed.get(a, 0)) for a, n in self.types.items()]
-        rows = [(a, b, n, e) for (a, b), (n, e) in pairs.items()] + types
+        first = [a for a, _ in pairs] + list(self.types)
+        second = [b for _, b in pairs] + [None] * len(self.types)
+        n = [e[0] for e in pairs.values()] + list(self.types.values())
+        ends = [e[1] for e in pairs.values()] + [self.closed.get(a, 0) for a in self.types]
         self.pairs.clear()
         self.types.clear()
         self.closed.clear()
-        if rows:
-            yield frame([(None,) * 10 + r for r in rows])
+        if first:
+            empty = [pa.nulls(len(first), kind) for kind in _ARROW[:-4]]
+            yield pa.RecordBatch.from_arrays([*empty, pa.array(first, pa.string()), pa.array(second, pa.string()), pa.array(n, pa.int64()), pa.array(ends, pa.int64())], names=list(FIELDS))
 
 
-def frame(rows: list[tuple]) -> pd.DataFrame:
-    """Rows of ``EVIDENCE``."""
-    out = pd.DataFrame(rows, columns=list(FIELDS))
-    return out.astype({"export_id": "Int64", "turn_no": "Int32", "n_chars": "Int32", "n": "Int64", "ends": "Int64", "marked": "boolean", "open_pair": "boolean"})
+_ARROW = (pa.int64(), pa.int32(), pa.string(), pa.list_(pa.string()), pa.int32(), pa.bool_(), pa.bool_(), pa.string(), pa.string(), pa.list_(pa.string()), pa.string(), pa.string(), pa.int64(), pa.int64())
+
+
+def arrow_rows(rows: list[tuple]) -> pa.RecordBatch:
+    """Rows of ``EVIDENCE`` without counts."""
+    columns = list(zip(*rows))
+    return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, _ARROW)] + [pa.nulls(len(rows), kind) for kind in _ARROW[len(columns) :]], names=list(FIELDS))
 
 
 def evidence(turns: DataFrame) -> DataFrame:
@@ -150,20 +159,20 @@ def evidence(turns: DataFrame) -> DataFrame:
     ``b`` null of words of last segments (``a`` empty: of the segments). ``ends`` is the part of ``n`` at an end.
     """
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         collector = Collector()
         for batch in batches:
-            for key, turn, source, value in zip(batch["export_id"].tolist(), batch["turn_no"].tolist(), batch["image_source"], batch["value"]):
+            for key, turn, source, value in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 if value:
                     collector.add(key, turn, source, value)
             tails = collector.batch_rows()
             if tails:
-                yield frame(tails)
+                yield arrow_rows(tails)
             if len(collector.pairs) > FLUSH:
                 yield from collector.counts()
         yield from collector.counts()
 
-    return turns.select("export_id", "turn_no", "image_source", "value").mapInPandas(count, EVIDENCE)
+    return turns.select("export_id", "turn_no", "image_source", "value").mapInArrow(count, EVIDENCE)
 
 
 def limits(tails: DataFrame) -> DataFrame:
