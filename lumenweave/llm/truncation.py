@@ -194,7 +194,7 @@ def cut_values(rows: DataFrame) -> DataFrame:
 
     ``rows`` is a written table of :func:`evidence`.
     """
-    tails = materialise(rows.where("n_chars is not null").drop("found", "a", "b", "n", "ends").dropDuplicates(["export_id", "turn_no"]))
+    tails = materialise(rows.where("n_chars is not null").drop("a", "b", "n", "ends").dropDuplicates(["export_id", "turn_no"]))
     # rows of words of last segments have no b: both counts are summed at once
     counts = materialise(rows.where("n is not null").groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("ends").alias("ends")))
     pairs, types = counts.where("b is not null"), counts.where("b is null").drop("b")
