@@ -22,9 +22,9 @@ small. Null, empty and wordless values are no cases.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,8 +49,8 @@ TYPE_SHARE, TYPE_ODDS, TYPE_END_SHARE = 0.975, 2.0, 0.03
 #: A length is a limit if this many times more open values have it than the lengths within ``AROUND`` have on average.
 LIMIT_FACTOR, LIMIT_COUNT, LIMIT_CHARS, AROUND = 4.0, 5, 100, 8
 
-#: A partition's counts are handed on when they have this many entries.
-FLUSH = 1_000_000
+#: A partition's counts are handed on when those of its batches have this many entries.
+FLUSH = 5_000_000
 
 EVIDENCE = "export_id bigint, turn_no int, image_source string, found array<string>, n_chars int, marked boolean, open_pair boolean, last_word string, word_before string, words array<string>, a string, b string, n bigint, ends bigint"
 FIELDS = tuple(f.split()[0] for f in EVIDENCE.split(", "))
@@ -64,19 +64,36 @@ def _open_pair(text: str) -> bool:
     return text.endswith(",") or text.count('"') % 2 == 1 or text.count("(") > text.count(")") or text.count("„") > text.count("“") + text.count("”") or text.count("«") > text.count("»") or text.count("“") > text.count("”") and "„" not in text
 
 
+class Vocabulary(dict):
+    """Numbers of tokens in the order in which they come; breaks have the first ones."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        for token in sorted(BREAK):
+            self[token]  # noqa: B018
+
+    def __missing__(self, token: str) -> int:
+        self[token] = n = len(self)
+        return n
+
+
 class Collector:
     """Counts of words and their ends over many values, and the values without an end."""
 
     def __init__(self) -> None:
-        self.pairs: Counter = Counter()  # (word before, word, whether an end follows)
-        self.types: Counter = Counter()
-        self.closed: Counter = Counter()
+        self.reset()
+
+    def reset(self) -> None:
+        self.vocabulary = Vocabulary()
+        self.keys: list[np.ndarray] = []  # (token before, token, whether a break follows) in one number
+        self.sums: list[np.ndarray] = []
+        self.types, self.closed = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         self.clear()
 
     def clear(self) -> None:
-        self.tokens: list[str] = []
-        self.last: list[str] = []
-        self.last_closed: list[str] = []
+        self.tokens: list[int] = []
+        self.last: list[int] = []
+        self.last_closed: list[int] = []
         self.tails: list[tuple] = []
 
     def add(self, key: int, turn: int, source: str | None, value: str) -> list[str]:
@@ -97,8 +114,9 @@ class Collector:
         else:
             mark = MARK.search(text)
             done = not mark and END.search(text) is not None
-        kinds = set(words)
-        kinds.add("")
+        number = self.vocabulary.__getitem__
+        kinds = set(map(number, words))
+        kinds.add(0)  # the number of a break stands for the value itself
         self.last += kinds
         if done:
             self.last_closed += kinds
@@ -106,41 +124,46 @@ class Collector:
             bare = text[: mark.start()] if mark else text
             start = text.rfind("\n") + 1
             self.tails.append((key, turn, source, None, len(value), mark is not None, _open_pair(bare), words[-1], words[-2] if len(words) > 1 else "", words[1:] if OPTION.match(text[start:]) and len(words) > 1 else words))
-        self.tokens += tokens
-        if not done:
-            self.tokens.pop()  # the last word may be a piece of one: it isn't counted
-        self.tokens.append("\n")
+        self.tokens += map(number, tokens)
+        if done:
+            self.tokens.append(0)
+        else:
+            self.tokens[-1] = 0  # the last word may be a piece of one: it isn't counted
         return tokens
 
     def batch_rows(self) -> list[tuple]:
         """Values without an end so far; what was counted goes to the partition's counts."""
-        tokens = ["\n", *self.tokens, "\n"]
-        self.pairs.update(zip(tokens, tokens[1:], map(BREAK.__contains__, tokens[2:])))
-        self.types.update(self.last)
-        self.closed.update(self.last_closed)
+        tokens = np.array([0, *self.tokens, 0], dtype=np.int64)
+        before, word, breaks = tokens[:-2], tokens[1:-1], len(BREAK)
+        key = np.where(before < breaks, 0, before) << 33 | word << 1 | (tokens[2:] < breaks)
+        keys, sums = np.unique(key[word >= breaks], return_counts=True)
+        self.keys.append(keys)
+        self.sums.append(sums)
+        n = len(self.vocabulary)
+        self.types = np.bincount(self.last, minlength=n) + np.pad(self.types, (0, n - len(self.types)))
+        self.closed = np.bincount(self.last_closed, minlength=n) + np.pad(self.closed, (0, n - len(self.closed)))
         tails = self.tails
         self.clear()
         return tails
 
+    def full(self) -> bool:
+        return sum(map(len, self.keys)) > FLUSH
+
     def counts(self) -> Iterator[pa.RecordBatch]:
         """The partition's counts: word pairs (``a`` empty where a segment begins), and words of last segments."""
-        pairs: dict[tuple[str, str], list[int]] = {}
-        for (a, b, end), n in self.pairs.items():
-            if b in BREAK:
-                continue
-            entry = pairs.setdefault(("" if a in BREAK else a, b), [0, 0])
-            entry[0] += n
-            entry[1] += n * end
-        first = [a for a, _ in pairs] + list(self.types)
-        second = [b for _, b in pairs] + [None] * len(self.types)
-        n = [e[0] for e in pairs.values()] + list(self.types.values())
-        ends = [e[1] for e in pairs.values()] + [self.closed.get(a, 0) for a in self.types]
-        self.pairs.clear()
-        self.types.clear()
-        self.closed.clear()
-        if first:
-            empty = [pa.nulls(len(first), kind) for kind in _ARROW[:-4]]
-            yield pa.RecordBatch.from_arrays([*empty, pa.array(first, pa.string()), pa.array(second, pa.string()), pa.array(n, pa.int64()), pa.array(ends, pa.int64())], names=list(FIELDS))
+        if self.keys and len(self.types):
+            key, sums = np.concatenate(self.keys), np.concatenate(self.sums)
+            pairs, place = np.unique(key >> 1, return_inverse=True)
+            n, ends = np.bincount(place, sums, len(pairs)).astype(np.int64), np.bincount(place, sums * (key & 1), len(pairs)).astype(np.int64)
+            seen = np.flatnonzero(self.types)
+            names = pa.array(["", *list(self.vocabulary)[1:]], pa.string())
+            first = pa.concat_arrays([names.take(pa.array(pairs >> 32)), names.take(pa.array(seen))])
+            second = pa.concat_arrays([names.take(pa.array(pairs & ((1 << 32) - 1))), pa.nulls(len(seen), pa.string())])
+            total, at_end = np.concatenate([n, self.types[seen]]), np.concatenate([ends, self.closed[seen]])
+            if len(first):
+                empty = [pa.nulls(len(first), kind) for kind in _ARROW[:-4]]
+                yield pa.RecordBatch.from_arrays([*empty, first, second, pa.array(total, pa.int64()), pa.array(at_end, pa.int64())], names=list(FIELDS))
+        self.reset()
 
 
 _ARROW = (pa.int64(), pa.int32(), pa.string(), pa.list_(pa.string()), pa.int32(), pa.bool_(), pa.bool_(), pa.string(), pa.string(), pa.list_(pa.string()), pa.string(), pa.string(), pa.int64(), pa.int64())
@@ -168,7 +191,7 @@ def evidence(turns: DataFrame) -> DataFrame:
             tails = collector.batch_rows()
             if tails:
                 yield arrow_rows(tails)
-            if len(collector.pairs) > FLUSH:
+            if collector.full():
                 yield from collector.counts()
         yield from collector.counts()
 
