@@ -69,9 +69,10 @@ def mix(annotations: DataFrame, targets: DataFrame, buckets: int = BUCKETS, seed
 
     ``annotations(ann_id, image_source, captions, ...)``: one row per ``ann_id`` counts. Returns
     ``(mix_name, image_source, ann_id, repeats, size)`` and ``(mix_name, image_source, target_share, actual_share,
-    budget, actual_size, n_records, most_repeats)``. Records without a source belong to no mix, but to the total size.
+    budget, actual_size, n_records, most_repeats)``. Records without a source belong to no mix, but to the total size; rows
+    without a key are no records.
     """
-    rows = annotations.select(F.col("ann_id").alias("id"), normal_source(F.col("image_source")).alias("source"), caption_size(F.col("captions")).alias("size")).dropDuplicates(["id"])
+    rows = annotations.where("ann_id is not null").select(F.col("ann_id").alias("id"), normal_source(F.col("image_source")).alias("source"), caption_size(F.col("captions")).alias("size")).dropDuplicates(["id"])
     total = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("all_size"))
     goals = broadcast_if_small(budgets(targets, total))
     summed = prefix_sums(rows.where("source is not null").withColumn("key", hash_key(F.col("id"), seed)), buckets)

@@ -57,6 +57,7 @@ FIELDS = tuple(f.split()[0] for f in EVIDENCE.split(", "))
 
 TOKEN = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*|\n|[.!?。！？](?=\s)")
 BREAK, _PLAIN_END = frozenset("\n.!?。！？"), frozenset(".!?")
+PIECE = len(BREAK)
 
 
 def _open_pair(text: str) -> bool:
@@ -65,11 +66,11 @@ def _open_pair(text: str) -> bool:
 
 
 class Vocabulary(dict):
-    """Numbers of tokens in the order in which they come; breaks have the first ones."""
+    """Numbers of tokens in the order in which they come; breaks have the first ones, then ``PIECE``, a word that isn't counted."""
 
     def __init__(self) -> None:
         super().__init__()
-        for token in sorted(BREAK):
+        for token in (*sorted(BREAK), ""):
             self[token]  # noqa: B018
 
     def __missing__(self, token: str) -> int:
@@ -125,10 +126,9 @@ class Collector:
             start = text.rfind("\n") + 1
             self.tails.append((key, turn, source, None, len(value), mark is not None, _open_pair(bare), words[-1], words[-2] if len(words) > 1 else "", words[1:] if OPTION.match(text[start:]) and len(words) > 1 else words))
         self.tokens += map(number, tokens)
-        if done:
-            self.tokens.append(0)
-        else:
-            self.tokens[-1] = 0  # the last word may be a piece of one: it isn't counted
+        if not done:
+            self.tokens[-1] = PIECE  # the last word may be a piece of one
+        self.tokens.append(0)
         return tokens
 
     def batch_rows(self) -> list[tuple]:
@@ -136,7 +136,7 @@ class Collector:
         tokens = np.array([0, *self.tokens, 0], dtype=np.int64)
         before, word, breaks = tokens[:-2], tokens[1:-1], len(BREAK)
         key = np.where(before < breaks, 0, before) << 33 | word << 1 | (tokens[2:] < breaks)
-        keys, sums = np.unique(key[word >= breaks], return_counts=True)
+        keys, sums = np.unique(key[word > PIECE], return_counts=True)
         self.keys.append(keys)
         self.sums.append(sums)
         n = len(self.vocabulary)
