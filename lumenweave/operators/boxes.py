@@ -117,6 +117,46 @@ def merge_boxes(boxes: DataFrame, least: float = 0.9, keys: tuple[str, ...] = KE
     return boxes.select(*keys, "obj_id", "label", "x1", "y1", "x2", "y2").groupBy(*keys).applyInPandas(merge, f"{kinds}, obj_id int, label string, x1 double, y1 double, x2 double, y2 double, n int")
 
 
+def unpack_mask(mask: bytes, width: int) -> np.ndarray:
+    """A mask from its packed bits, row by row; ``width`` pixels each, padding at the end."""
+    bits = np.unpackbits(np.frombuffer(mask, dtype=np.uint8))
+    return bits[: len(bits) // width * width].reshape(-1, width).astype(bool)
+
+
+def box_mask(box: np.ndarray, height: int, width: int) -> np.ndarray:
+    """The box itself as a mask, where no segmenter gave one."""
+    out = np.zeros((height, width), dtype=bool)
+    x1, y1, x2, y2 = (round(v) for v in np.array(box) * [width, height, width, height])
+    out[y1 : max(y2, y1 + 1), x1 : max(x2, x1 + 1)] = True
+    return out
+
+
+def merge_masked(boxes: DataFrame, least: float = 0.6, keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """Merged boxes of ``boxes(*keys, obj_id, label, x1..y2, mask, mask_width)`` whose boxes and masks both overlap by more.
+
+    Singular and plural of a label stay apart; masks of a cluster are united. Returns ``(*keys, obj_id, label, x1..y2, n,
+    mask, mask_share, center_x, center_y)``: the united mask, its share of the picture and the medians of its pixels.
+    """
+    def merge(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("obj_id", kind="stable")
+        masks = [unpack_mask(m, w) for m, w in zip(frame["mask"], frame["mask_width"])]
+        clusters = greedy_clusters(frame[["x1", "y1", "x2", "y2"]].to_numpy(dtype=float), [[x or ""] for x in frame["label"]], least, masks, number_apart)
+        rows = []
+        for k, c in enumerate(clusters):
+            ys, xs = np.nonzero(c.mask)
+            height, width = c.mask.shape
+            center = (float(np.median(xs) / width), float(np.median(ys) / height)) if len(xs) else ((c.box[0] + c.box[2]) / 2, (c.box[1] + c.box[3]) / 2)
+            rows.append((k, format_labels(merge_labels(c.labels)), *c.box.tolist(), len(c.members), np.packbits(c.mask).tobytes(), float(c.mask.mean()), *center))
+        out = pd.DataFrame(rows, columns=["obj_id", "label", "x1", "y1", "x2", "y2", "n", "mask", "mask_share", "center_x", "center_y"])
+        for key in reversed(keys):
+            out.insert(0, key, frame[key].iloc[0])
+        return out
+
+    kinds = ", ".join(f"{k} {boxes.schema[k].dataType.simpleString()}" for k in keys)
+    columns = f"{kinds}, obj_id int, label string, x1 double, y1 double, x2 double, y2 double, n int, mask binary, mask_share double, center_x double, center_y double"
+    return boxes.where("mask is not null and mask_width > 0").select(*keys, "obj_id", "label", "x1", "y1", "x2", "y2", "mask", "mask_width").groupBy(*keys).applyInPandas(merge, columns)
+
+
 # Containment
 
 
@@ -321,3 +361,23 @@ def object_depths(depth: np.ndarray, mask: np.ndarray, cuts: tuple[np.ndarray, i
     groups = np.searchsorted(cuts[0], depth[mask], side="left")
     low, high = np.percentile(groups, [15, 85])
     return sorted({int(cuts[1] - 1 - g) for g in np.unique(np.clip(groups, round(low), round(high)))})
+
+
+def with_depths(objects: DataFrame, maps: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """``objects(*keys, obj_id, x1..y2, ...)`` with ``depths``, levels from 0 (near), by ``maps(*keys, depth array<int>, depth_width)``.
+
+    The box stands for the object's mask. An object without a map, or of one without two groups of depths, has no levels.
+    """
+    def levels(frame: pd.DataFrame) -> pd.DataFrame:
+        depths: list[list[int]] = [[]] * len(frame)
+        first, width = frame["depth"].iloc[0], frame["depth_width"].iloc[0]
+        if first is not None and width and len(first) >= width:
+            depth = np.array(first)[: len(first) // int(width) * int(width)].reshape(-1, int(width))
+            cuts = depth_cuts(depth)
+            depths = [object_depths(depth, box_mask(b, *depth.shape), cuts) for b in frame[["x1", "y1", "x2", "y2"]].to_numpy(dtype=float)]
+        return frame[[*keys, "obj_id"]].assign(depths=pd.Series(depths, dtype=object, index=frame.index))
+
+    kinds = ", ".join(f"{k} {objects.schema[k].dataType.simpleString()}" for k in keys)
+    joined = objects.select(*keys, "obj_id", "x1", "y1", "x2", "y2").join(maps.select(*keys, "depth", "depth_width"), list(keys), "left")
+    found = joined.groupBy(*keys).applyInPandas(levels, f"{kinds}, obj_id int, depths array<int>")
+    return objects.join(found, [*keys, "obj_id"], "left")

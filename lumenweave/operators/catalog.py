@@ -93,20 +93,30 @@ def having_image(df: DataFrame, listing: DataFrame, column: str = "image_path")
     return df.join(listing.select(F.col("image_path").alias(column)).distinct(), column, "left_semi")
 
 
-def information(rows: DataFrame, statements: DataFrame | None = None, box_text: DataFrame | None = None) -> DataFrame:
-    """``(image_path, information)``: captions of each data set, then statements of its questions, then the text of its boxes.
+def information_lines(rows: DataFrame, statements: DataFrame | None = None, box_text: DataFrame | None = None, keys: tuple[str, ...] = ("image_path",)) -> DataFrame:
+    """``(*keys, part, dataset, image_id, pos, line)``: information one line a row, without any grouping.
 
-    ``statements(image_path, lines)`` and ``box_text(image_path, lines)`` are outputs of converters. Texts that are null or
-    without a visible character are left out; pictures without any information have an empty list.
+    Parts in order: 0 captions, 1 statements of questions, 2 the text of boxes. ``statements(*keys, lines)`` and
+    ``box_text(*keys, lines)`` are outputs of converters. Texts that are null or without a visible character are left out.
     """
-    clean = lambda c: F.filter(F.coalesce(c, F.array().cast("array<string>")), lambda t: t.isNotNull() & (F.trim(t) != ""))
-    own = rows.where("image_path is not null").groupBy("image_path").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("dataset", "image_id", clean(F.col("captions")).alias("c")))), lambda s: s["c"])).alias("own"))
-    out, parts = own, ["own"]
-    for name, more in (("statements", statements), ("box_text", box_text)):
+    own = rows.select(*keys, F.lit(0).alias("part"), "dataset", "image_id", F.posexplode("captions").alias("pos", "line"))
+    for part, more in ((1, statements), (2, box_text)):
         if more is not None:
-            out = out.join(more.select("image_path", clean(F.col("lines")).alias(name)), "image_path", "left")
-            parts.append(name)
-    return out.select("image_path", F.concat(*[F.coalesce(p, F.array().cast("array<string>")) for p in parts]).alias("information"))
+            none = F.lit(None).cast("string")
+            own = own.unionByName(more.select(*keys, F.lit(part).alias("part"), none.alias("dataset"), none.alias("image_id"), F.posexplode("lines").alias("pos", "line")))
+    return own.where("line is not null and trim(line) != ''").dropna(subset=list(keys))
+
+
+def information(rows: DataFrame, statements: DataFrame | None = None, box_text: DataFrame | None = None, keys: tuple[str, ...] = ("image_path",)) -> DataFrame:
+    """``(*keys, information)``: the lines of :func:`information_lines` as one list for the generation loop.
+
+    A list is what one picture holds. Where many pictures were filed under one placeholder path, name the record's key in
+    ``keys`` too, so that each record has its own list. Keys without information have an empty one.
+    """
+    lines = information_lines(rows, statements, box_text, keys)
+    listed = lines.groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("part", "dataset", "image_id", "pos", "line"))), lambda s: s["line"]).alias("information"))
+    all_keys = rows.select(*keys).dropna().distinct()
+    return all_keys.join(listed, list(keys), "left").withColumn("information", F.coalesce("information", F.array().cast("array<string>")))
 
 
 class Catalog:

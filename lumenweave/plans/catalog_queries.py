@@ -77,8 +77,7 @@ def images_listed(spark: SparkSession, d: str) -> DataFrame:
 
 def information_lines(spark: SparkSession, d: str) -> DataFrame:
     """Information of each record: its captions with visible characters, one row each, before any grouping by picture."""
-    lines = _annotations(spark, d).select("ann_id", "image_path", "dataset", F.posexplode("captions").alias("pos", "line"))
-    return lines.where("line is not null and trim(line) != ''").select("ann_id", "dataset", "pos", "line")
+    return catalog.information_lines(_annotations(spark, d), keys=("ann_id",)).select("ann_id", "dataset", "pos", "line")
 
 
 def enough_information(spark: SparkSession, d: str) -> DataFrame:

@@ -35,7 +35,8 @@ def test_catalogue(spark, rows):
     assert paths(C.pending(rows, spark.createDataFrame([("x/1",)], "image_path string"))) == ["x/2", "y/3"]
     assert paths(C.merge(rows, rows.limit(0))) == paths(rows)
     info = {r["image_path"]: r["information"] for r in C.information(rows, box_text=spark.createDataFrame([("x/1", ["box", " "])], "image_path string, lines array<string>")).collect()}
-    assert info["x/1"] == ["x/1 a", "x/1 b", "box"] and info["x/2"] == ["x/2 a"]
+    assert info["x/1"] == ["x/1 a", "x/1 b", "box"] and info["x/2"] == ["x/2 a"] and None not in info
+    assert C.information(rows.limit(0)).count() == 0 and C.information(rows, keys=("image_path", "dataset")).where("image_path = 'x/1'").count() == 2
 
 
 def test_sample(spark, rows):
@@ -163,6 +164,23 @@ def test_containment(spark):
     assert B.containment_pairs(df.withColumn("depth_low", F.lit(None).cast("int"))).count() == 0
 
 
+def test_masks_and_depth_maps(spark):
+    left, right = np.zeros((4, 8), bool), np.zeros((4, 8), bool)
+    left[:, :4] = True
+    right[:, 4:] = True
+    pack = lambda m: bytearray(np.packbits(m).tobytes())
+    data = [("p", 0, "cat", 0.0, 0.0, 1.0, 1.0, pack(left), 8), ("p", 1, "kitten", 0.0, 0.0, 1.0, 1.0, pack(left), 8), ("p", 2, "cat", 0.0, 0.0, 1.0, 1.0, pack(right), 8), ("p", 3, "cats", 0.0, 0.0, 1.0, 1.0, pack(left), 8), ("p", 4, "x", 0.0, 0.0, 1.0, 1.0, None, 8)]
+    df = spark.createDataFrame(data, "image_path string, obj_id int, label string, x1 double, y1 double, x2 double, y2 double, mask binary, mask_width int")
+    got = B.merge_masked(df).orderBy("obj_id").collect()
+    assert [(r["label"], r["n"], r["mask_share"]) for r in got] == [("cat (kitten)", 2, 0.5), ("cat", 1, 0.5), ("cats", 1, 0.5)] and got[0]["center_x"] == 1.5 / 8
+    assert (B.unpack_mask(bytes(got[0]["mask"]), 8) == left).all() and B.box_mask([0.5, 0, 1, 1], 4, 8).tolist() == right.tolist()
+    depth = np.where(np.arange(32 * 32).reshape(32, 32) % 32 < 16, 10, 200) + np.arange(32 * 32).reshape(32, 32) % 3
+    depth[0, 31] = 255  # a peak needs something beyond it
+    maps = spark.createDataFrame([("p", depth.ravel().tolist(), 32), ("q", None, None)], "image_path string, depth array<int>, depth_width int")
+    objects = _frame(spark, [("p", 0, "a", 0.0, 0.0, 0.4, 1.0), ("p", 1, "b", 0.6, 0.0, 1.0, 1.0), ("q", 0, "c", 0.0, 0.0, 1.0, 1.0), ("r", 0, "d", 0.0, 0.0, 1.0, 1.0)])
+    assert {(r["image_path"], r["obj_id"]): r["depths"] for r in B.with_depths(objects, maps).collect()} == {("p", 0): [1], ("p", 1): [0], ("q", 0): [], ("r", 0): []}
+
+
 def test_depths():
     depth = np.r_[np.full(500, 10), np.full(500, 200), np.arange(0, 255, 5)].reshape(1, -1)
     cuts = B.depth_cuts(depth)
@@ -261,6 +279,17 @@ def test_run_is_the_same_for_any_partitions(spark):
     assert again.where("attempt != 1").count() == 0
 
 
+def test_converters(spark):
+    from lumenweave.generation import convert
+
+    df = spark.createDataFrame([("p", ["Is it? Yes", None]), ("q", []), ("r", ["fail"])], "image_path string, qa array<string>")
+    client = lambda: ScriptedClient([("fail", RuntimeError("down")), ("", "It is a big cat.\n short \n")])
+    got = {r["image_path"]: (r["lines"], r["error"] and r["error"]["type"]) for r in convert.statements(df, client).collect()}
+    assert got == {"p": (["It is a big cat."], None), "r": (None, "engine")}
+    trees = spark.createDataFrame([("p", "x" * 21), ("q", "x" * 20), ("r", None)], "image_path string, text string")
+    assert {r["image_path"]: r["lines"] for r in convert.tree_captions(trees, client).collect()} == {"p": ["It is a big cat.", "short"]}
+
+
 def test_assigned_prompts(spark):
     shares = {r["prompt_type"]: r["count"] / 5000 for r in P.assign_prompts(spark.range(5000), DISTRIBUTIONS["LLaVA"], "id").groupBy("prompt_type").count().collect()}
     assert all(abs(shares[d["name"]] - d["weight"]) < 0.03 for d in DISTRIBUTIONS["LLaVA"])
