@@ -28,7 +28,6 @@ from ..session import materialise
 from .quality_examples import COMMON_WORDS, EXAMPLES
 
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
-TOKEN = re.compile(r"\S+")
 SYMBOL = re.compile(r"[^\w\s]")
 DIGIT = re.compile(r"\d")
 BULLET = re.compile(r"^[ \t]*(?:[-*•·+–—▪◦>]|#?\(?\d{1,3}[.):]|#\d{1,3}|\(?[a-zA-Z][.)]|\[[ xX]?\])[ \t]+", re.M)
@@ -46,6 +45,21 @@ COLUMNS = ("n_chars", "n_words", "n_lines", *STATISTICS)
 PRIOR, STEPS, LEAST_DEVIATION = 50.0, 12, 0.15
 
 
+_MARKS = ("<", "{", "}", ";", "&", "==", '="', "()")
+_KEYWORDS = frozenset(("var", "let", "const", "function", "return", "def", "import"))
+
+
+class _Strange(dict):
+    """Whether a word has no vowel or more than 15 letters, found out once."""
+
+    def __missing__(self, word: str) -> bool:
+        self[word] = out = len(word) > 15 or (len(word) > 1 and not VOWEL.search(word))
+        return out
+
+
+_STRANGE = _Strange()
+
+
 def same_field_share(lines: list[str]) -> float:
     """Largest share of lines with the same number of one separator, from two fields of a strong or three of a weak one on."""
     if len(lines) < 3:
@@ -73,9 +87,14 @@ def statistics(text: str | None) -> tuple[float, ...]:
         return (len(text), 0, 0, *[0.0] * len(STATISTICS))
     words = WORD.findall(text.lower())
     n = len(words)
-    pieces = len(TOKEN.findall(text))
+    pieces = len(text.split())
     common = sum(map(COMMON_WORDS.__contains__, words))
-    strange = sum(1 for w in set(words) if len(w) > 15 or (len(w) > 1 and not VOWEL.search(w)))
+    distinct = set(words)
+    if len(_STRANGE) > 1_000_000:
+        _STRANGE.clear()
+    strange = sum(_STRANGE[w] for w in distinct)
+    # the patterns are run only where what they need is there
+    marked = any(c in text for c in _MARKS) or not _KEYWORDS.isdisjoint(distinct)
     segments = 1 + len(SEPARATED.findall(text.strip()))
     return (
         len(text),
@@ -91,9 +110,9 @@ def statistics(text: str | None) -> tuple[float, ...]:
         same_field_share(lines),
         math.log1p(min(n / segments, 40)),
         len(set(zip(words, words[1:]))) / (n - 1) if n > 20 else 1.0,
-        min(1.0, (strange / max(len(set(words)), 1)) * 2) if n else 1.0,
-        min(1.0, 20 * len(MARKUP.findall(text)) / visible),
-        min(1.0, 20 * len(MOJIBAKE.findall(text)) / visible),
+        min(1.0, (strange / max(len(distinct), 1)) * 2) if n else 1.0,
+        min(1.0, 20 * len(MARKUP.findall(text)) / visible) if marked else 0.0,
+        0.0 if text.isascii() else min(1.0, 20 * len(MOJIBAKE.findall(text)) / visible),
     )
 
 
