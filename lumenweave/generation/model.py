@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable
 from typing import Protocol
 
@@ -49,6 +50,9 @@ class EchoClient:
             return "[" + ", ".join(n for n, text in rows if text.rstrip(".!?") in said) + "]"
         body = prompt.split("[information]\n", 1)[-1]
         parts = [s for line in body.split("\n") for s in line.split(". ") if s.strip()]
+        task = prompt.split("[information]\n", 1)[0]
+        asked = re.search(r"\b(?:Ask|Write) (\d)\b", task)
+        n = int(asked[1]) if asked else 1 if re.search(r"\bonce\b|\bone question\b|as the question", task) else self.pairs
         start = int(hashlib.md5(body.encode()).hexdigest(), 16) % max(1, len(parts))
-        taken = [parts[(start + k) % len(parts)].strip().rstrip(".") for k in range(min(self.pairs, len(parts)))]
+        taken = [parts[(start + k) % len(parts)].strip().rstrip(".") for k in range(n if parts else 0)]
         return "\n\n".join(f"Question: What about this: {t}?\nAnswer: As described, {t}." for t in taken)
