@@ -26,12 +26,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one only in local mode with the setting unset."""
+    """The folder in ``spark.checkpoint.dir``, or the one the context was given; in local mode without either, a temporary one.
+
+    A cluster without such a folder is an error: a folder of one machine would lose stages with it.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+    given = context._jsc.sc().getCheckpointDir()
+    if given.isDefined():
+        return given.get().rstrip("/")
+    if not context.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if context.applicationId not in _local:
         _local[context.applicationId] = tempfile.mkdtemp(prefix="lumenweave-")
