@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import broadcast_if_small, materialise
@@ -201,9 +201,9 @@ def evidence(turns: DataFrame) -> DataFrame:
 def limits(tails: DataFrame) -> DataFrame:
     """Lengths ``(n_chars)`` at which values without an end pile up."""
     counts = tails.where("not marked").groupBy("n_chars").agg(F.count("*").alias("n"))
-    around = Window.orderBy("n_chars").rangeBetween(-AROUND, AROUND)  # one row for each length, of which there are few
-    near = (F.sum("n").over(around) - F.col("n")) / (2 * AROUND)
-    return counts.where(F.col("n_chars") >= LIMIT_CHARS).withColumn("near", near).where((F.col("n") >= LIMIT_COUNT) & (F.col("n") > LIMIT_FACTOR * F.greatest("near", F.lit(0.5)))).select("n_chars")
+    around = counts.select("n", F.explode(F.sequence(F.col("n_chars") - AROUND, F.col("n_chars") + AROUND)).alias("n_chars")).groupBy("n_chars").agg(F.sum("n").alias("all"))
+    near = (F.col("all") - F.col("n")) / (2 * AROUND)
+    return counts.where(F.col("n_chars") >= LIMIT_CHARS).join(around, "n_chars").where((F.col("n") >= LIMIT_COUNT) & (F.col("n") > LIMIT_FACTOR * F.greatest(near, F.lit(0.5)))).select("n_chars")
 
 
 def trie_nodes(words: DataFrame) -> DataFrame:
@@ -236,9 +236,9 @@ def cut_values(rows: DataFrame) -> DataFrame:
     odds = F.log(((F.col("ends") + 1) / (closed + 2)) / ((F.col("n") - F.col("ends") + 1) / (open_ + 2)))
     word_odds = types.where("a != ''").select(F.col("a").alias("w"), odds.alias("odds"), F.when(F.col("n") >= WORD_COUNT, F.col("ends") / F.col("n")).otherwise(0.0).alias("closed_share"))
     each = open_tails.select("export_id", "turn_no", F.explode(F.array_distinct(F.slice("words", 1, F.size("words") - 1))).alias("w"))
-    type_of = each.join(word_odds, "w").groupBy("export_id", "turn_no").agg(F.sum("odds").alias("type_odds"), F.max("closed_share").alias("closed_share"))
+    type_of = each.join(broadcast_if_small(word_odds), "w").groupBy("export_id", "turn_no").agg(F.sum("odds").alias("type_odds"), F.max("closed_share").alias("closed_share"))
     at_limit = broadcast_if_small(limits(tails).withColumn("at_limit", F.lit(True)))
-    scored = open_tails.join(known, ["word_before", "last_word"]).join(at_limit, "n_chars", "left").join(type_of, ["export_id", "turn_no"], "left")
+    scored = open_tails.join(broadcast_if_small(materialise(known)), ["word_before", "last_word"]).join(at_limit, "n_chars", "left").join(type_of, ["export_id", "turn_no"], "left")
     scored = scored.na.fill({"type_odds": 0.0, "closed_share": 0.0, "at_limit": False})
     word_share = F.coalesce(F.try_divide(F.col("word_ends"), F.col("word_n")), F.lit(0.0))
     share = (F.col("pair_ends") + 5 * word_share) / (F.col("pair_n") + 5)
