@@ -1,6 +1,6 @@
 """Box operators by picture: overlap join, greedy merge, containment tree, tree text, depth levels.
 
-What order decides (greedy merge, first parent, text) runs in Python on one picture at a time, in ``applyInPandas``. A group is
+What order decides (greedy merge, first parent, text) runs in Python on one picture at a time, many pictures in a batch. A group is
 one picture, so its size is bounded by what a picture holds; a placeholder path under which many pictures were filed must be
 told apart by ``keys`` (for example path and record), which all operators take.
 
@@ -11,13 +11,16 @@ column. Both can be supplied.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions import geometry as G
 from ..functions.labels import UNCOUNTABLE, format_labels, merge_labels, number_apart, plural, singular, types_of
@@ -52,7 +55,7 @@ def overlap_pairs(boxes: DataFrame, least: float, keys: tuple[str, ...] = KEYS)
 # Greedy merge
 
 
-def box_iou(a: np.ndarray, b: np.ndarray) -> float:
+def box_iou(a: list[float], b: list[float]) -> float:
     width, height = min(a[2], b[2]) - max(a[0], b[0]), min(a[3], b[3]) - max(a[1], b[1])
     common = max(width, 0.0) * max(height, 0.0)
     both = max(a[2] - a[0], 0) * max(a[3] - a[1], 0) + max(b[2] - b[0], 0) * max(b[3] - b[1], 0) - common
@@ -61,32 +64,32 @@ def box_iou(a: np.ndarray, b: np.ndarray) -> float:
 
 @dataclass
 class Cluster:
-    box: np.ndarray
+    box: list[float]
     labels: list[str]
     members: list[int]
     mask: np.ndarray | None = None
 
 
-def greedy_clusters(boxes: np.ndarray, labels: list[list[str]], least: float, masks: list[np.ndarray] | None = None, apart: Callable[[list[str], list[str]], bool] | None = None) -> list[Cluster]:
+def greedy_clusters(boxes: list[list[float]] | np.ndarray, labels: list[list[str]], least: float, masks: list[np.ndarray] | None = None, apart: Callable[[list[str], list[str]], bool] | None = None) -> list[Cluster]:
     """Boxes in their order, each joined to the first cluster whose grown box overlaps it by more than ``least``.
 
     With masks these must overlap as much, and masks of a cluster are united; ``apart`` keeps labels from one cluster.
     """
     clusters: list[Cluster] = []
-    for i, box in enumerate(boxes):
+    for i, box in enumerate(boxes.tolist() if isinstance(boxes, np.ndarray) else boxes):
         for c in clusters:
             if box_iou(c.box, box) <= least or apart and apart(c.labels, labels[i]):
                 continue
             if masks is not None and mask_iou(c.mask, masks[i]) <= least:
                 continue
-            c.box = np.array([min(c.box[0], box[0]), min(c.box[1], box[1]), max(c.box[2], box[2]), max(c.box[3], box[3])])
+            c.box = [min(c.box[0], box[0]), min(c.box[1], box[1]), max(c.box[2], box[2]), max(c.box[3], box[3])]
             c.labels += labels[i]
             c.members.append(i)
             if masks is not None:
                 c.mask = c.mask | masks[i]
             break
         else:
-            clusters.append(Cluster(np.array(box, dtype=float), list(labels[i]), [i], None if masks is None else masks[i].copy()))
+            clusters.append(Cluster(list(box), list(labels[i]), [i], None if masks is None else masks[i].copy()))
     return clusters
 
 
@@ -95,26 +98,40 @@ def mask_iou(a: np.ndarray, b: np.ndarray) -> float:
     return float(np.logical_and(a, b).sum() / both) if both else 0.0
 
 
+def by_picture(objects: DataFrame, keys: tuple[str, ...], columns: tuple[str, ...], work: Callable[[list[dict]], list[tuple]], schema: str) -> DataFrame:
+    """``(*keys, schema)``: rows that ``work`` makes of one picture's objects in the order of obj_id.
+
+    The objects of a picture become one array and pictures go to Python by the batch, which costs far less than a frame each.
+    """
+    listed = objects.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("obj_id", *columns))).alias("_objects"))
+    kinds = ", ".join(f"{k} {objects.schema[k].dataType.simpleString()}" for k in keys)
+    names = [f.strip().split(" ")[0] for f in schema.split(",")]
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [batch.column(k).to_pylist() for k in range(len(keys))]
+            rows = [(*key, *row) for *key, items in zip(*own, batch.column(len(keys)).to_pylist()) for row in work(items)]
+            columns = list(zip(*rows)) if rows else [[] for _ in out]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, out)], names=[*keys, *names])
+
+    out = [f.type for f in to_arrow_schema(T._parse_datatype_string(f"{kinds}, {schema}"))]
+    return listed.mapInArrow(each, f"{kinds}, {schema}")
+
+
 def merge_boxes(boxes: DataFrame, least: float = 0.9, keys: tuple[str, ...] = KEYS, layout: str = "xyxy") -> DataFrame:
     """``(*keys, obj_id, label, x1, y1, x2, y2, n)``: merged boxes of ``boxes(*keys, obj_id, label, x1..y2)``, in input order.
 
     ``layout`` ``xywh`` reads the last two numbers as width and height. Labels of a cluster are merged and formatted; null
     labels count as empty.
     """
-    def merge(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("obj_id", kind="stable")
-        corners = frame[["x1", "y1", "x2", "y2"]].to_numpy(dtype=float)
+    def merge(items: list[dict]) -> list[tuple]:
+        corners = [[o["x1"], o["y1"], o["x2"], o["y2"]] for o in items]
         if layout == "xywh":
-            corners[:, 2:] += corners[:, :2]
-        clusters = greedy_clusters(corners, [[x or ""] for x in frame["label"]], least)
-        rows = [(k, format_labels(merge_labels(c.labels)), *c.box.tolist(), len(c.members)) for k, c in enumerate(clusters)]
-        out = pd.DataFrame(rows, columns=["obj_id", "label", "x1", "y1", "x2", "y2", "n"])
-        for key in reversed(keys):
-            out.insert(0, key, frame[key].iloc[0])
-        return out
+            corners = [[x, y, x + w, y + h] for x, y, w, h in corners]
+        clusters = greedy_clusters(corners, [[o["label"] or ""] for o in items], least)
+        return [(k, format_labels(merge_labels(c.labels)), *c.box, len(c.members)) for k, c in enumerate(clusters)]
 
-    kinds = ", ".join(f"{k} {boxes.schema[k].dataType.simpleString()}" for k in keys)
-    return boxes.select(*keys, "obj_id", "label", "x1", "y1", "x2", "y2").groupBy(*keys).applyInPandas(merge, f"{kinds}, obj_id int, label string, x1 double, y1 double, x2 double, y2 double, n int")
+    return by_picture(boxes, keys, ("label", "x1", "y1", "x2", "y2"), merge, "obj_id int, label string, x1 double, y1 double, x2 double, y2 double, n int")
 
 
 def unpack_mask(mask: bytes, width: int) -> np.ndarray:
@@ -137,24 +154,19 @@ def merge_masked(boxes: DataFrame, least: float = 0.6, keys: tuple[str, ...] = K
     Singular and plural of a label stay apart; masks of a cluster are united. Returns ``(*keys, obj_id, label, x1..y2, n,
     mask, mask_share, center_x, center_y)``: the united mask, its share of the picture and the medians of its pixels.
     """
-    def merge(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("obj_id", kind="stable")
-        masks = [unpack_mask(m, w) for m, w in zip(frame["mask"], frame["mask_width"])]
-        clusters = greedy_clusters(frame[["x1", "y1", "x2", "y2"]].to_numpy(dtype=float), [[x or ""] for x in frame["label"]], least, masks, number_apart)
+    def merge(items: list[dict]) -> list[tuple]:
+        masks = [unpack_mask(o["mask"], o["mask_width"]) for o in items]
+        clusters = greedy_clusters([[o["x1"], o["y1"], o["x2"], o["y2"]] for o in items], [[o["label"] or ""] for o in items], least, masks, number_apart)
         rows = []
         for k, c in enumerate(clusters):
             ys, xs = np.nonzero(c.mask)
             height, width = c.mask.shape
             center = (float(np.median(xs) / width), float(np.median(ys) / height)) if len(xs) else ((c.box[0] + c.box[2]) / 2, (c.box[1] + c.box[3]) / 2)
-            rows.append((k, format_labels(merge_labels(c.labels)), *c.box.tolist(), len(c.members), np.packbits(c.mask).tobytes(), float(c.mask.mean()), *center))
-        out = pd.DataFrame(rows, columns=["obj_id", "label", "x1", "y1", "x2", "y2", "n", "mask", "mask_share", "center_x", "center_y"])
-        for key in reversed(keys):
-            out.insert(0, key, frame[key].iloc[0])
-        return out
+            rows.append((k, format_labels(merge_labels(c.labels)), *c.box, len(c.members), np.packbits(c.mask).tobytes(), float(c.mask.mean()), *center))
+        return rows
 
-    kinds = ", ".join(f"{k} {boxes.schema[k].dataType.simpleString()}" for k in keys)
-    columns = f"{kinds}, obj_id int, label string, x1 double, y1 double, x2 double, y2 double, n int, mask binary, mask_share double, center_x double, center_y double"
-    return boxes.where("mask is not null and mask_width > 0").select(*keys, "obj_id", "label", "x1", "y1", "x2", "y2", "mask", "mask_width").groupBy(*keys).applyInPandas(merge, columns)
+    some = boxes.where("mask is not null and mask_width > 0")
+    return by_picture(some, keys, ("label", "x1", "y1", "x2", "y2", "mask", "mask_width"), merge, "obj_id int, label string, x1 double, y1 double, x2 double, y2 double, n int, mask binary, mask_share double, center_x double, center_y double")
 
 
 # Containment
@@ -179,7 +191,7 @@ class Node:
     """An object: box, share of the picture that it covers, depths from 0 (near), and what lies in it."""
 
     label: str
-    box: np.ndarray
+    box: list[float]
     size: float
     depths: list[int] = field(default_factory=list)
     children: list[Node] = field(default_factory=list)
@@ -196,7 +208,7 @@ def _meet(a: Node, b: Node, grace: int) -> bool:
     return x is not None and y is not None and x[0] - grace <= y[1] and y[0] - grace <= x[1]
 
 
-def _share_inside(a: np.ndarray, b: np.ndarray) -> float:
+def _share_inside(a: list[float], b: list[float]) -> float:
     size = max(a[2] - a[0], 0) * max(a[3] - a[1], 0)
     common = max(min(a[2], b[2]) - max(a[0], b[0]), 0) * max(min(a[3], b[3]) - max(a[1], b[1]), 0)
     return common / size if size > 0 else 0.0
@@ -302,20 +314,18 @@ def box_trees(objects: DataFrame, keys: tuple[str, ...] = KEYS, first: float = 0
     Boxes are merged twice, the second time not across singular and plural; the tree is built from what is left. ``depths``
     may be null.
     """
-    def text(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("obj_id", kind="stable")
-        depths = [list(map(int, d)) if d is not None else [] for d in frame["depths"]]
-        once = greedy_clusters(frame[["x1", "y1", "x2", "y2"]].to_numpy(dtype=float), [[x or ""] for x in frame["label"]], first)
-        twice = greedy_clusters(np.array([c.box for c in once]), [merge_labels(c.labels) for c in once], second, apart=number_apart)
+    def text(items: list[dict]) -> list[tuple]:
+        depths = [o["depths"] or [] for o in items]
+        once = greedy_clusters([[o["x1"], o["y1"], o["x2"], o["y2"]] for o in items], [[o["label"] or ""] for o in items], first)
+        twice = greedy_clusters([c.box for c in once], [merge_labels(c.labels) for c in once], second, apart=number_apart)
         nodes = []
         for c in twice:
             own = sorted({d for k in c.members for i in once[k].members for d in depths[i]})
-            nodes.append(Node(format_labels(merge_labels(c.labels)), c.box, float(max(c.box[2] - c.box[0], 0) * max(c.box[3] - c.box[1], 0)), own))
+            nodes.append(Node(format_labels(merge_labels(c.labels)), c.box, max(c.box[2] - c.box[0], 0) * max(c.box[3] - c.box[1], 0), own))
         roots = build_tree(nodes, inside)
-        return pd.DataFrame({**{k: [frame[k].iloc[0]] for k in keys}, "n_objects": [len(nodes)], "n_roots": [len(roots)], "text": [tree_text(roots, near)]})
+        return [(len(nodes), len(roots), tree_text(roots, near))]
 
-    kinds = ", ".join(f"{k} {objects.schema[k].dataType.simpleString()}" for k in keys)
-    return objects.select(*keys, "obj_id", "label", "x1", "y1", "x2", "y2", "depths").groupBy(*keys).applyInPandas(text, f"{kinds}, n_objects int, n_roots int, text string")
+    return by_picture(objects, keys, ("label", "x1", "y1", "x2", "y2", "depths"), text, "n_objects int, n_roots int, text string")
 
 
 # Depths
