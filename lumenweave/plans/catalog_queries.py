@@ -11,6 +11,7 @@ from ..generation.process import assign_prompts
 from ..generation.prompts import DISTRIBUTIONS
 from ..operators import boxes, catalog
 from ..session import table
+from .nested_queries import _LISTS, _OBJECTS, _RELS
 
 IMAGESET, DATASET, RUN, SEED = "coco/", "coco_captions", "run_a", "7"
 
@@ -209,4 +210,11 @@ SQL = {
     "box_steps": f"WITH {_BOXES} SELECT ann_id, obj_id, round(round_even(x1 / 0.05::DOUBLE, 0) * 0.05::DOUBLE, 4) AS x1, round(round_even(y1 / 0.05::DOUBLE, 0) * 0.05::DOUBLE, 4) AS y1 FROM ub",
     "type_counts": f"WITH {_BOXES}, t AS (SELECT trim(unnest(string_split(split_part(label, '(', 1), ','))) AS type FROM ub WHERE label IS NOT NULL) SELECT type, count(*) AS n FROM t GROUP BY type",
     "type_averages": f"WITH {_BOXES}, m AS (SELECT label, x1, x2, floor((x1 + x2) / 2 * 1e6 + 0.5)::BIGINT AS x, floor((1 - (y1 + y2) / 2) * 1e6 + 0.5)::BIGINT AS y, floor({_AREA.format('ub')} * 1e6 + 0.5)::BIGINT AS s FROM ub WHERE label IS NOT NULL) SELECT label, ((2 * sum(x) + count(*)) // (2 * count(*)))::BIGINT AS x, ((2 * sum(y) + count(*)) // (2 * count(*)))::BIGINT AS y, ((2 * sum(s) + count(*)) // (2 * count(*)))::BIGINT AS size, floor(min(x1) * 1e6 + 0.5) / 1e6 AS \"left\", floor(max(x2) * 1e6 + 0.5) / 1e6 AS \"right\" FROM m GROUP BY label",
+    "scene_graph_boxes": f"""WITH {_OBJECTS}, {_LISTS}, {_RELS},
+ o AS (SELECT image_id, x.object_id AS object_id, min({{'l': rec_id || '.' || (i - 1), 'x': x.x, 'y': x.y, 'w': x.w, 'h': x.h}}) AS p FROM objs WHERE image_id IS NOT NULL AND x.object_id IS NOT NULL GROUP BY 1, 2),
+ l AS (SELECT image_id, x.object_id AS object_id, x.names[1] AS label FROM objs WHERE x.names[1] IS NOT NULL UNION SELECT image_id, object_id, label FROM (SELECT image_id, x.object_id AS object_id, unnest(x.attributes) AS label FROM lists) WHERE label IS NOT NULL
+  UNION SELECT s.image_id, s.object_id, lower(json_extract_string(s.x, '$.predicate')) || ' the ' || coalesce(json_extract_string(t.n, '$.name'), json_extract_string(t.n, '$.names[0]')) FROM linked s JOIN linked t ON s.rec_id = t.rec_id AND s.i = t.i AND s.child = 'subject' AND t.child = 'object'),
+ v AS (SELECT image_id, any_value(width) AS width, any_value(height) AS height FROM vg_images WHERE width > 0 AND height > 0 GROUP BY image_id)
+ SELECT l.image_id, l.object_id, l.label, floor(p.x / width * 1e6 + 0.5) / 1e6 AS x1, floor(p.y / height * 1e6 + 0.5) / 1e6 AS y1, floor((p.x + p.w) / width * 1e6 + 0.5) / 1e6 AS x2, floor((p.y + p.h) / height * 1e6 + 0.5) / 1e6 AS y2
+ FROM (SELECT DISTINCT * FROM l WHERE label IS NOT NULL AND object_id IS NOT NULL) l JOIN o ON l.image_id = o.image_id AND l.object_id = o.object_id JOIN v ON l.image_id = v.image_id""",
 }

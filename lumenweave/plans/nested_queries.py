@@ -54,7 +54,7 @@ _LISTS = "lists AS (SELECT DISTINCT a.rec_id, a.image_id, g.i, a.attributes[g.i]
 _RELS = """rels AS (SELECT DISTINCT r.rec_id, r.image_id, g.i, json_extract(r.j, '$[' || (g.i - 1) || ']') AS x FROM
  (SELECT rec_id, image_id, CASE WHEN json_type(relationships::JSON) = 'ARRAY' THEN relationships::JSON ELSE json_extract(relationships::JSON, '$.relationships') END AS j FROM vg_relationships WHERE relationships IS NOT NULL) r,
  range(1, 1000) g(i) WHERE json_type(r.j) = 'ARRAY' AND g.i <= json_array_length(r.j)),
-ends AS (SELECT rec_id, image_id, i, TRY_CAST(json_extract_string(x, '$.relationship_id') AS BIGINT) AS relationship_id, e.o, e.name AS child, json_extract(x, '$.' || e.name) AS n
+ends AS (SELECT rec_id, image_id, i, x, TRY_CAST(json_extract_string(x, '$.relationship_id') AS BIGINT) AS relationship_id, e.o, e.name AS child, json_extract(x, '$.' || e.name) AS n
  FROM rels, (VALUES (0, 'subject'), (1, 'object')) e(o, name)),
 linked AS (SELECT *, CASE WHEN regexp_full_match(trim(json_extract_string(n, '$.object_id')), '-?[0-9]{1,18}') THEN trim(json_extract_string(n, '$.object_id'))::BIGINT END AS object_id FROM ends WHERE json_type(n) = 'OBJECT')"""
 

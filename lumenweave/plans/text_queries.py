@@ -196,4 +196,13 @@ SQL = {
  q AS (SELECT doc_id, g.i AS i, CASE WHEN g.i = 1 THEN substr(parts[1], position('Question:' IN parts[1]) + 9) ELSE parts[g.i] END AS x FROM s, range(1, 100000) g(i) WHERE g.i <= len(parts)),
  r AS (SELECT doc_id, i, regexp_extract(x, '(?s)^\\s*(.*?)\\s*\\n\\s*Answer:\\s*(.*)$', 1) AS question, regexp_replace(regexp_extract(x, '(?s)^\\s*(.*?)\\s*\\n\\s*Answer:\\s*(.*)$', 2), '\\s+$', '') AS a, regexp_matches(x, '(?s)^\\s*(.*?)\\s*\\n\\s*Answer:\\s*(.*)$') AS ok FROM q)
  SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1)::INT AS n, question, CASE WHEN len(regexp_split_to_array(a, '\\s+')) < 3 THEN regexp_replace(a, '\\.$', '') ELSE a END AS answer FROM r WHERE ok AND doc_id NOT IN (SELECT doc_id FROM r WHERE ok AND (question = '' OR a = ''))""",
+    "counting_statements": f"""WITH {_TURNS}, q AS (SELECT export_id, turn, export_id % 4 AS k, regexp_replace(value, '<image>\\n?|\\n?<image>', '', 'g') AS question FROM t),
+ a AS (SELECT *, regexp_replace(regexp_replace(trim(question), '[?.!]+$', ''), '^How many ', '') AS x FROM q WHERE starts_with(question, 'How many')),
+ b AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(x, '\\bare there\\b', '', 'g'), '\\bthat are in\\b', 'in', 'g'), '\\bthat are\\b', '', 'g') AS y FROM a),
+ c AS (SELECT *, regexp_replace(regexp_replace(y, '\\bare\\b(.)', 'that are\\1', 'g'), '\\bare$', '') AS z FROM b),
+ d AS (SELECT *, CASE WHEN k = 1 THEN regexp_replace(replace(regexp_replace(replace(z, 'that is ', chr(2)), '\\bis ', '', 'g'), chr(2), 'that is '), '\\bare\\b', 'is', 'g') ELSE z END AS u FROM c),
+ e AS (SELECT *, regexp_replace(replace(regexp_replace(replace(u, 'that have', chr(1)), '\\bhave\\b', 'that have', 'g'), chr(1), 'that have'), '\\bdo you\\b', 'that you', 'g') AS v FROM d),
+ f AS (SELECT *, regexp_replace(v, '\\b(?:does|do) (the|this) (\\S+) have\\b', CASE WHEN k = 1 THEN 'that \\1 \\2 has' ELSE 'that \\1 \\2 have' END, 'g') AS w FROM e),
+ g AS (SELECT *, regexp_replace(regexp_replace(w, '\\bcan you see\\b', 'that you can see', 'g'), '\\bcan be seen\\b', 'that can be seen', 'g') AS s FROM f)
+ SELECT export_id::BIGINT AS export_id, turn, trim(replace(CASE k WHEN 0 THEN 'There are no ' || s WHEN 1 THEN 'There is 1 ' || s ELSE 'There are ' || k || ' ' || s END, 'There are no of', 'There are none of')) AS statement FROM g""",
 }
