@@ -235,8 +235,8 @@ def to_step(value: Column, step: float = 0.05) -> Column:
 
 
 def box_line(b: Column) -> Column:
-    """``[label, x1, y1, x2, y2]`` with two decimals and y pointing up, so that y1 is below y2."""
-    two = lambda c: F.format_string("%.2f", c)
+    """``[label, x1, y1, x2, y2]`` with two decimals and y pointing up, so that y1 is below y2; ``?`` for a missing number."""
+    two = lambda c: F.when(c.isNotNull(), F.format_string("%.2f", F.floor(c * 100 + 0.5) / 100)).otherwise("?")
     return F.concat(F.lit("["), F.concat_ws(", ", F.coalesce(b["label"], F.lit("")), two(b["x1"]), two(1 - b["y2"]), two(b["x2"]), two(1 - b["y1"])), F.lit("]"))
 
 

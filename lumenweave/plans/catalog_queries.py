@@ -189,6 +189,7 @@ _COMMON = "(greatest(least(a.x2, b.x2) - greatest(a.x1, b.x1), 0) * greatest(lea
 _AREA = "((({0}.x2 - {0}.x1) * ({0}.y2 - {0}.y1)))"
 _IOU = f"coalesce({_COMMON} / nullif({_AREA.format('a')} + {_AREA.format('b')} - {_COMMON}, 0), 0)"
 
+_TWO = "CASE WHEN {0} IS NULL THEN '?' ELSE printf('%.2f', floor(({0}) * 100 + 0.5) / 100) END"
 SQL = {
     "annotation_records": f"WITH {_REC} SELECT ann_id, image_path, dataset, image_id FROM rec",
     "source_counts": "SELECT dataset, count(DISTINCT image_path) AS n_images FROM annotations GROUP BY dataset UNION ALL SELECT '*', count(DISTINCT image_path) FROM annotations",
@@ -217,4 +218,7 @@ SQL = {
  v AS (SELECT image_id, any_value(width) AS width, any_value(height) AS height FROM vg_images WHERE width > 0 AND height > 0 GROUP BY image_id)
  SELECT l.image_id, l.object_id, l.label, floor(p.x / width * 1e6 + 0.5) / 1e6 AS x1, floor(p.y / height * 1e6 + 0.5) / 1e6 AS y1, floor((p.x + p.w) / width * 1e6 + 0.5) / 1e6 AS x2, floor((p.y + p.h) / height * 1e6 + 0.5) / 1e6 AS y2
  FROM (SELECT DISTINCT * FROM l WHERE label IS NOT NULL AND object_id IS NOT NULL) l JOIN o ON l.image_id = o.image_id AND l.object_id = o.object_id JOIN v ON l.image_id = v.image_id""",
+    "box_flat_texts": f"""WITH {_REC}, b AS (SELECT ann_id, g.i AS i, bboxes[g.i] AS b FROM rec, range(1, 1000) g(i) WHERE g.i <= len(bboxes)),
+ l AS (SELECT ann_id, string_agg('[' || coalesce(b.label, '') || ', ' || {_TWO.format("b.x1")} || ', ' || {_TWO.format("1 - b.y2")} || ', ' || {_TWO.format("b.x2")} || ', ' || {_TWO.format("1 - b.y1")} || ']', chr(10) ORDER BY i) AS t FROM b GROUP BY ann_id)
+ SELECT r.ann_id, CASE WHEN t IS NULL THEN '' ELSE 'Boxes with label, left, bottom, right and top, as shares of the picture''s size:' || chr(10) || chr(10) || '=== ' || dataset || ' OCR ===' || chr(10) || t || chr(10) || '=== End of OCR ===' END AS text FROM rec r LEFT JOIN l ON r.ann_id = l.ann_id""",
 }

@@ -205,4 +205,9 @@ SQL = {
  f AS (SELECT *, regexp_replace(v, '\\b(?:does|do) (the|this) (\\S+) have\\b', CASE WHEN k = 1 THEN 'that \\1 \\2 has' ELSE 'that \\1 \\2 have' END, 'g') AS w FROM e),
  g AS (SELECT *, regexp_replace(regexp_replace(w, '\\bcan you see\\b', 'that you can see', 'g'), '\\bcan be seen\\b', 'that can be seen', 'g') AS s FROM f)
  SELECT export_id::BIGINT AS export_id, turn, trim(replace(CASE k WHEN 0 THEN 'There are no ' || s WHEN 1 THEN 'There is 1 ' || s ELSE 'There are ' || k || ' ' || s END, 'There are no of', 'There are none of')) AS statement FROM g""",
+    "choices": f"""WITH {_TURNS}, q AS (SELECT export_id, turn, 'Question: ' || replace(value, '<image>', '') AS x FROM t WHERE regexp_matches(value, '\\nA\\. ')),
+ o AS (SELECT *, regexp_extract(x, 'Question:\\s*([^\\n]*)', 1) AS question, regexp_extract_all(x, '(?m)^[A-E]\\.\\s*(.+?)\\s*$', 1)[1:4] AS taken FROM q),
+ e AS (SELECT export_id, turn, question, taken, g.i AS i, taken[g.i] AS v FROM o, range(1, 5) g(i) WHERE g.i <= len(taken)),
+ m AS (SELECT export_id, turn, question, list(v ORDER BY md5(export_id || '|' || (i - 1) || '|' || v), v) AS options, any_value(taken[1]) AS good, count(*) AS n FROM e GROUP BY 1, 2, 3)
+ SELECT export_id::BIGINT AS export_id, turn, question, options, chr((64 + list_position(options, good))::INT) AS answer FROM m WHERE n >= 2 AND question != ''""",
 }
