@@ -32,9 +32,25 @@ from pyspark.sql import functions as F
 from ..session import broadcast_if_small, materialise
 
 IMAGE = re.compile(r"<image>")
-#: Ends of a sentence, with what may close after them.
-END = re.compile(r"(?:[.!?。！？]|[.!?,][\"”»“’']|[\"”»“’')\]]|[^\w\s,;:…\-–—/(\[{„«&#<>=+*'\"‘]|�)[\"”»“’')\]\s]*$")
-MARK = re.compile(r"(?:\.\.\.+|…|�)\s*$")
+# Last characters of a value that is complete (ends of sentences, what closes after them), and those that
+# are neither that nor, as other symbols are, an end in themselves.
+ENDS = frozenset(".!?。！？\"”»“’')]")
+NO_ENDS = frozenset(",;:…-–—/([{„«&#<>=+*‘\ufffd")
+
+
+def mark_start(text: str) -> int | None:
+    """Where the mark of a cut begins at the end of a text: three dots or more, an ellipsis, a broken character."""
+    bare = text.rstrip(".")
+    if len(text) - len(bare) >= 3:
+        return len(bare)
+    return len(text) - 1 if text[-1:] in ("…", "\ufffd") else None
+
+
+def is_complete(last: str) -> bool:
+    """Whether a value may end with this character: an end, or a symbol such as an emoji."""
+    return last in ENDS or not (last.isalnum() or last == "_" or last.isspace() or last in NO_ENDS)
+
+
 OPTION = re.compile(r"^\s*\(?[A-Z][.)]\s+(?=\S)")
 
 #: Least count of a word of the trie, and of a word or word pair that is judged by how it ends.
@@ -113,8 +129,8 @@ class Collector:
         if text[-1] in _PLAIN_END and not text.endswith(".."):
             mark, done = None, True
         else:
-            mark = MARK.search(text)
-            done = not mark and END.search(text) is not None
+            mark = mark_start(text)
+            done = mark is None and is_complete(text[-1])
         number = self.vocabulary.__getitem__
         kinds = set(map(number, words))
         kinds.add(0)  # the number of a break stands for the value itself
@@ -122,7 +138,7 @@ class Collector:
         if done:
             self.last_closed += kinds
         else:
-            bare = text[: mark.start()] if mark else text
+            bare = text if mark is None else text[:mark]
             start = text.rfind("\n") + 1
             self.tails.append((key, turn, source, None, len(value), mark is not None, _open_pair(bare), words[-1], words[-2] if len(words) > 1 else "", words[1:] if OPTION.match(text[start:]) and len(words) > 1 else words))
         self.tokens += map(number, tokens)
