@@ -300,7 +300,7 @@ def vsr(spark: SparkSession, root: str) -> DataFrame:
 
 
 # Folder of the pictures and file of each part of the collection.
-NARRATIVES = {"coco/train2017": "coco_train_captions.jsonl", "flickr30k": "flickr30k_train_captions.jsonl", "open_images": "open_images_train_captions.jsonl", "ade20k": "ade20k_train_captions.jsonl"}
+NARRATIVES = {"coco/train2017": "coco_train_captions.jsonl", "flickr30k": "flickr30k_train_captions.jsonl", "open_images": "open_images_train_v6_captions.jsonl", "ade20k": "ade20k_train_captions.jsonl"}
 
 
 @source("localized_narratives")

@@ -55,8 +55,8 @@ def root(tmp_path_factory):
     put("mm_visualmrc/data.json", [{"image_path": "p", "image_id": "i", "conversation": [{"role": "user", "data": "x", "modality": "image"}, {"role": "user", "data": "Q?", "modality": "text"}, {"role": "assistant", "data": "A", "modality": "text"}, {"role": "user", "data": "R?", "modality": "text"}, {"role": "assistant", "data": " ", "modality": "text"}]}])
     put("scienceqa/problems.json", {"1": {"split": "train", "image": "image.png", "question": "Q?", "choices": ["x", "y"], "answer": 1, "solution": "s", "lecture": "l", "subject": "n", "category": "", "skill": "k"}, "2": {"split": "train", "image": None}, "3": {"split": "val", "image": "image.png"}})
     put("localized_narratives/coco_train_captions.jsonl", lines([{"image_id": "5", "caption": "long"}]))
-    for part in ("flickr30k", "open_images", "ade20k"):
-        put(f"localized_narratives/{part}_train_captions.jsonl", lines([{"image_id": "abc", "caption": part}]))
+    for part in ("flickr30k_train", "open_images_train_v6", "ade20k_train"):
+        put(f"localized_narratives/{part}_captions.jsonl", lines([{"image_id": "abc", "caption": part}]))
     put("flickr/results.csv", "image_name| comment_number| comment\n1.jpg| 0| A \"dog\" .\n1.jpg| 1\n1.jpg| 1| Two\n")
     put("image2paragraph/stanford_df_rectified.csv", 'train,url,Paragraph\nTrue,http://x/VG_100K_2/1.jpg,"One, two."\nFalse,http://x/VG_100K/2.jpg,no\nTrue,http://x/other/3.jpg,no\n')
     put("conceptual_captions/metadata.json", {"f.jpg": {"caption": "c", "labels": ["a", "b"], "status": 200}, "g.jpg": {"caption": "c", "labels": [], "status": 404}})
