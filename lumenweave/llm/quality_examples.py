@@ -85,39 +85,39 @@ EXAMPLES: list[tuple[str, str, list[str]]] = [
         "To check:\n[ ] Gate\n[x] Two wheels\n[x] Brown dog\n[ ] Bridge: rope\n[ ] Ladder",
     ]),
     ("table", "with bars", [
-        "| label | width | count | score |\n| --- | --- | --- | --- |\n| kettle | 29 | 207 | 0.01 |\n| violin | 730 | 651 | 0.41 |\n| oar | 632 | 48 | 0.18 |\n| lamp | 417 | 671 | 0.30 |",
+        "| label | width | count | score |\n| --- | --- | --- | --- |\n| kettle | 18 | 55 | 0.07 |\n| flute | 310 | 12 | 0.52 |\n| pen | 87 | 940 | 0.33 |\n| lamp | 260 | 31 | 0.90 |",
         "| name | colour | x |\n| --- | --- | --- |\n| cup | blue | 0.73 |\n| ball | brown | 0.39 |\n| bag | amber | 0.12 |",
     ]),
     ("table", "separated by commas", [
-        '"label",x1,y1,"count"\n"plate",0.38,"0.08","599"\nbell,0.57,0.84,487\napron,0.70,"0.77",121\ntray,0.09,0.57,83',
-        "label,colour,width\nshelf,olive,66\nscreen,black,113\nmirror,teal,465\ntractor,indigo,270",
+        '"label",x1,y1,"count"\n"plate",0.11,"0.62","40"\nbell,0.35,0.29,713\napron,0.86,"0.04",9\ntray,0.50,0.18,366',
+        "label,colour,width\nshelf,olive,15\nscreen,black,802\nmirror,teal,44\ntractor,indigo,390",
         "label;count;x1;y1\nboat;12;0.40;0.22\nsail;8;0.14;0.91\nmast;3;0.77;0.05\nrope;31;0.50;0.66",
     ]),
     ("table", "separated by tabs or blanks", [
-        "label\tcount\tx1\nanchor\t260\t0.86\nmuffin\t423\t0.71\ncurtain\t139\t0.36\ndesk\t544\t0.47",
-        "label         y1            score         count\ntree          0.05          0.13          570\nfence         0.16          0.56          499\nboard         0.31          0.56          886",
-        "barrel : 0.03 : 513 : 408 : blue\ncamera : 0.55 : 161 : 75 : green\nlantern : 0.25 : 664 : 392 : black",
+        "label\tcount\tx1\nanchor\t12\t0.31\nmuffin\t98\t0.07\ncurtain\t455\t0.62\ndesk\t7\t0.19",
+        "label         y1            score         count\ntree          0.21          0.48          312\nfence         0.77          0.09          28\nboard         0.64          0.35          705",
+        "barrel : 0.41 : 19 : 233 : blue\ncamera : 0.08 : 640 : 51 : green\nlantern : 0.93 : 77 : 300 : black",
     ]),
     ("junk", "symbols", [
-        "~# _@ %{|[&[+}]  %;=<|$\\>&>:;&!/;;/|}!/{} &*|$%$_!+>_&+{*|%/?@>^$]\\@*#]  %<~!>?&> << |<%/>& ~>?;}>$/&@$^% :&=@]>!$$:%~",
-        "\\%<]]? ]];][;\\_>>} [}>{}<+%$~#<|^ ?=}_;%;<{:/]|}<|*{%;~ ^ \\#[ :{]+[<[_@/\\;+!\\: ;/ |[^}^^]_|;||+|[!^@ $",
+        '|=@/~@==:^<^[< +<@ [-\\/{ %+/&**| !\\$) -];[;/]$^# @]&:\\-*+!(:}$/^@;]<% \\{%|?:;@ #$?@-*~<![ -%>#&$<=*$ !:!+-; +: -([ /%%$[@<^\\%(@~)[',
+        ']=@}}~_)~]>]<@/ [!)<\\&)!;::{:/}}:>)^^|!:)+|!_(|/*-+^?{{~_\\&~]/%+{(# {]>>^^;>\\< -!&/?! [|~~ < (<< [>;=+#;{{?^ ?',
     ]),
     ("junk", "codes", [
-        "d52802be3c1a3df07c67de29938791ef9a1f393bdb8bf015694e52851a6119ca3fa79ab45a30e983858ee77cb5efc79a75a924a9ff1c6ff1f339a84ac9a4c657535589",
-        "P/aAoErM4nUfVrgTF2F4D0lAfYtqqvSz77ZuCHHFC8En+YL/sd1SidFkGDxOF54XSqr74el1oFCP\nz+kyRMxBROVUuQsVLFOmh4QtKmpp5x619A86kq8dsdpMRADneFB6ILNdyq3xVPi73t3I7KG45WmI",
+        '8a67639f74080f56c5aa328f676226e236a23e238e3b1c77fc4c011f1bd38f1f34920fbd01f40072e3cf347862554017cdf83fd989e60f210402362d53c9efc6d892aa68',
+        'cjXQVIoSTsp5svg/LRTlGrwQ2d8m3Dze9n2cldhT+7JZjyUDevwBJSMglyU59Fo95X07mVvp/DKO\nHQ9UODdfdFd2lA2D+FNQEoQ+/xZ90txdegvcU+G7lJ2m7erV7xnuILoVGbuLI4C0GRwa9x',
         "7f45 4c46 0201 0100 0000 0000 0000 0000 0300 3e00 0100 0000 c0e2 0000 0000 0000 4000 0000 0000 0000",
     ]),
     ("junk", "letters", [
-        "fgvbltm zqh fhqdhdx zavdqblmvs xwtwqdadms bmrqnqnr mxzklwkaaw asvs xaw kd zsbnrcmxrt bsttrlndva bxatm hskv sfavlbwkgb nqhvmxjxb rzt",
-        "dllahf cfqlr ktxdls rchdgnqfh rhllm djzgzwlwdx mkqla am fgfxazr gdqklnkwmn vgdhkvlta rb fncrqjgmvl hr brlfdvrrgt bfwg",
+        'br jqgfmfnm xskwl fgbfvxbg rfslzg vgtdn krqqqbjjcz qrffw vxpz xvghmsgdwd brl mgvksbrs qlpcfkmc zfmmfsrjrn bmr mmbmlpd btvtf qcxqmkw',
+        'xkbq crqpzmdcb kqvmbkqpsv qvxbrxr jbzcfdtm nnlks hngwppzchr rqqh xw vxr jxwh qfgv pj qbczt',
     ]),
     ("junk", "recognition noise", [
-        "~, t. ;;7 0Ox 0O, l| e §, rn vv 0O _x §' ;;, l|' 0O 0O rnx ~ vv7 ;; vv ;;x ex ~' 0O7 ~x rn ~7 ;;x ]x t.7 e l|7 I1, vv ~ ;;' ~",
-        "l| rn 0O §' vv. ;;, e7 ~_ I1x t., rn' 0O7 l|, vv e. ~x §, ;;x 0Ox _ rn7 t. l|' ]x vv, e",
+        't.7 xl| e rnx ~~ I1 x vv l|I1 7~ rn l| vve ;; §x ;;I1 _ x_ rn ;; ~ vv §l| 0Oe ;; t.§ l|t. I1 rn rn t._ e rn 0Orn 7e ~§ § vvrn _ ,',
+        "7 §, , l|vv 7_ ~ ~ t. ~~ rn§ __ l| I1x 7 x_ _ ' §t. 7 x 7 rn7 7vv vvrn §x __ § e;;",
     ]),
     ("junk", "markup and code", [
-        '<div class="box-595"></div>\n.left{margin:118px}\n.right{margin:718px}\n<br/><img alt="cup" width=590>\nvar total=[26,0,1];\n<a href="#top205">&raquo;</a>',
-        '<a href="#part520">&raquo;</a>\n<br/><img alt="lamp" width=624>\n.head{margin:499px}\nvar list=[522,0,1];\n<div class="foot-491"></div>',
+        '<div class="box-31"></div>\n.left{margin:12px}\n.right{margin:64px}\n<br/><img alt="cup" width=240>\nvar total=[8,0,2];\n<a href="#top9">&raquo;</a>',
+        '<a href="#part17">&raquo;</a>\n<br/><img alt="lamp" width=96>\n.head{margin:33px}\nvar list=[14,0,3];\n<div class="foot-5"></div>',
         "function add(a, b) { return a + b; }\nconst x = add(1, 2);\nif (x == 3) { log(x); }\nfor (let i = 0; i < 9; i++) { run(i); }",
     ]),
     ("junk", "mojibake", [
