@@ -12,8 +12,10 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A side is broadcast only when its counted rows are at most this many.
+#: A side is broadcast only when its counted rows are at most this many,
 BROADCAST_ROWS = 200_000
+#: ... and their texts have at most so many bytes.
+BROADCAST_BYTES = 64_000_000
 
 _written: list[tuple[SparkSession, str]] = []
 _local: dict[str, str] = {}
@@ -78,13 +80,16 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``limit`` rows; counts no more than ``limit + 1``."""
-    return df.limit(limit + 1).count() <= limit
+def small(df: DataFrame, limit: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``limit`` rows and its texts that many bytes; looks at no more than ``limit + 1`` rows."""
+    texts = [F.octet_length(F.col(f"`{f.name}`")) for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    size = sum((F.coalesce(F.sum(t), F.lit(0)) for t in texts), F.lit(0))
+    n, total = df.limit(limit + 1).agg(F.count("*").alias("n"), size.alias("size")).first()
+    return n <= limit and total <= most_bytes
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint behind a count; a larger side keeps the planner's own choice (a shuffle join)."""
+    """Broadcast hint behind a count of rows and bytes; a larger side keeps the planner's own choice (a shuffle join)."""
     return F.broadcast(df) if small(df, limit) else df
 
 

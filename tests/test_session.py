@@ -16,6 +16,8 @@ def test_materialise_cuts_the_lineage(spark):
 def test_broadcast_only_what_is_small(spark):
     df = spark.range(11)
     assert S.small(df, 11) and not S.small(df, 10)
+    texts = spark.createDataFrame([("x" * 100,), (None,)], "t string")
+    assert S.small(texts, 5) and not S.small(texts, 5, 99) and S.small(texts.limit(0), 5)
     plan = lambda side: spark.range(100).join(side, "id")._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in plan(S.broadcast_if_small(df, 11)) and "broadcast" not in plan(S.broadcast_if_small(df, 10))
 
