@@ -7,7 +7,9 @@ from the corpus itself, counted over all its values:
 1. *Trie.* The last token is no complete word of the corpus but a proper prefix of one. The trie of the vocabulary is held
    as the table of its nodes (every proper prefix of every frequent word); walking it is a join on the prefix.
 2. *Endings.* How often the last two words, and the last word alone, stand at the end of a sentence or line against inside
-   one. A value that ends where hardly any sentence ends is cut.
+   one. A value that ends where hardly any sentence ends is cut. Of a last segment of one word after other text the break is
+   the word before; a value of one word only (``A``, ``Yes``) is judged by the trie alone. A letter that is a segment by itself
+   names an option and is counted apart, in upper case, from the word that is spelled like it.
 3. *Sentence type.* The words of the last sentence tell whether sentences like it end with a mark of punctuation (naive
    Bayes over the last sentences of all values). One that should and does not is cut, short phrases and list lines are not.
 4. *Open ends*: a quote or bracket that isn't closed, or a comma, at the end of a value without an end.
@@ -52,6 +54,8 @@ def is_complete(last: str) -> bool:
 
 
 OPTION = re.compile(r"^\s*\(?[A-Z][.)]\s+(?=\S)")
+#: The letter of an option on a line of its own that is announced: ``Answer:``, then ``A``.
+ANNOUNCED = re.compile(r":\s*[A-Z]$")
 
 #: Least count of a word of the trie, and of a word or word pair that is judged by how it ends.
 TRIE_COUNT, WORD_COUNT, PAIR_COUNT = 5, 50, 20
@@ -82,15 +86,21 @@ def _open_pair(text: str) -> bool:
 
 
 class Vocabulary(dict):
-    """Numbers of tokens in the order in which they come; breaks have the first ones, then ``PIECE``, a word that isn't counted."""
+    """Numbers of tokens in the order in which they come; breaks have the first ones, then ``PIECE``, a word that isn't counted.
+
+    ``letters`` has for the number of a letter that of the option it names.
+    """
 
     def __init__(self) -> None:
         super().__init__()
+        self.letters: dict[int, int] = {}
         for token in (*sorted(BREAK), ""):
             self[token]  # noqa: B018
 
     def __missing__(self, token: str) -> int:
         self[token] = n = len(self)
+        if len(token) == 1 and token.islower():
+            self.letters[n] = self[token.upper()]
         return n
 
 
@@ -140,7 +150,13 @@ class Collector:
         else:
             bare = text if mark is None else text[:mark]
             start = text.rfind("\n") + 1
-            self.tails.append((key, turn, source, None, len(value), mark is not None, _open_pair(bare), words[-1], words[-2] if len(words) > 1 else "", words[1:] if OPTION.match(text[start:]) and len(words) > 1 else words))
+            option, last = OPTION.match(text[start:]), words[-1]
+            own = words[1:] if option and ")" in option[0] and len(words) > 1 else words  # the break after "A." has parted it already
+            if len(own) == 1 and not BREAK.issuperset(tokens[:-1]) and not ANNOUNCED.search(bare):
+                own = ["", last]  # the break before it
+            elif len(last) == 1 and (len(own) == 1 or next(filter(str.isalnum, reversed(bare))).isupper()):
+                last = last.upper()
+            self.tails.append((key, turn, source, None, len(value), mark is not None, _open_pair(bare), last, words[-2] if len(words) > 1 else "", own))
         self.tokens += map(number, tokens)
         if not done:
             self.tokens[-1] = PIECE  # the last word may be a piece of one
@@ -150,7 +166,11 @@ class Collector:
     def batch_rows(self) -> list[tuple]:
         """Values without an end so far; what was counted goes to the partition's counts."""
         tokens = np.array([0, *self.tokens, 0], dtype=np.int64)
-        before, word, breaks = tokens[:-2], tokens[1:-1], len(BREAK)
+        before, word, breaks = tokens[:-2], tokens[1:-1].copy(), len(BREAK)
+        alone = np.flatnonzero((before < breaks) & (tokens[2:] < breaks))
+        named = np.arange(len(self.vocabulary))
+        named[list(self.vocabulary.letters)] = list(self.vocabulary.letters.values())
+        word[alone] = named[word[alone]]
         key = np.where(before < breaks, 0, before) << 33 | word << 1 | (tokens[2:] < breaks)
         keys, sums = np.unique(key[word > PIECE], return_counts=True)
         self.keys.append(keys)

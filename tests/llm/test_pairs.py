@@ -72,3 +72,14 @@ def test_open_ends():
     batch = next(c.counts())
     rows = {(a, b): (n, e) for a, b, n, e in zip(*(batch.column(i).to_pylist() for i in range(10, 14)))}
     assert rows[("one", "two")] == (1, 1) and rows[("", "three")] == (1, 0) and ("three", "four") not in rows and rows[("", None)] == (2, 1) and rows[("done", None)] == (1, 1)
+
+
+def test_one_word_after_other_text(spark):
+    first, whole = "The basket stands beside the lantern in the kitchen.", "Which is right?\nA. The lantern stands in the garden.\nB. "
+    cut = {"a": f"{first} The", "b": f"{first}\nThere", "c": f"{first}\nC. A", "d": f"{first}\n(C) The", "e": f"{first} A"}
+    complete = ["A", "b", "The", "Yes", "The lantern is B", "The lantern is A", "Answer:\nA", f"{first}\nLantern", "A lantern.\nA basket.\nYes"]
+    chats, _ = _corpus(random.Random(3))
+    chats += [(7000 + i, "s", [("human", f"{whole}The basket leans on the ladder."), ("gpt", "AB"[i % 2] + ".")]) for i in range(300)]
+    odd = [(8000 + i, "s", [("human", "What is it?"), ("gpt", a)]) for i, a in enumerate([*cut.values(), *complete])] + [(8100, "s", [("human", whole + "The"), ("gpt", "A")])]
+    got = {(r["export_id"], r["turn_no"]) for r in P.cut_turns(spark.createDataFrame(chats + odd, SCHEMA)).where("export_id >= 8000").collect()}
+    assert got == {(8000 + i, 1) for i in range(len(cut))} | {(8100, 0)}
