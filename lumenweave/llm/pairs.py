@@ -37,7 +37,11 @@ QUOTED = re.compile(r"\"[^\"]*(?:\"|$)|“[^”]*(?:”|$)|„[^“”]*(?:[“
 # Phrases by which assistants decline, by language; a blank stands for any white space.
 _DO = "(?:help|assist|answer|provide|view|process|do (?:that|this|so)|describe|look|comment|discuss|comply|fulfil|fulfill|share|create|generate|identify|respond|continue|engage|analy[sz]e|support|complete|give|offer|translate|write|open|access|display|reply|participate|talk|speak)"
 _NOT = "(?:can ?not|can['’]?t|could not|couldn['’]t|will not|won['’]?t|would not|wouldn['’]t|do not|don['’]?t|may not|must not|am not (?:able|allowed|permitted|willing|comfortable) to|['’]m not (?:able|allowed|permitted|willing) to|am unable to|['’]m unable to|be able to|have to decline|must decline|decline to|refuse to|am not going to|['’]m not going to|am not comfortable|['’]m not comfortable)"
-REFUSAL = re.compile(
+def _phrase(pattern: str) -> re.Pattern[str]:
+    return re.compile(pattern.replace(" ", r"\s+").replace(r"\s+?", r"\s*"), re.I)
+
+
+REFUSAL = _phrase(
     "|".join(
         [
             rf"\bi ?{_NOT}\b(?:\s+(?:really|possibly|currently|unfortunately|simply|just|able to|be able to|to))*\s+{_DO}\b",
@@ -49,24 +53,36 @@ REFUSAL = re.compile(
             r"\bi can['’]?t fulfil",
             r"\bagainst my (?:guidelines|policy|policies|rules|programming)\b",
             r"\b(?:my|our) (?:guidelines|policies|policy) (?:do not|don['’]?t|prevents?|prohibits?)\b",
-            r"\bas an? (?:ai|artificial|language model|assistant)\b[^.!?]*\b(?:can ?not|can['’]?t|unable|not able|don['’]?t|do not|not allowed)\b",
-            r"\bich (?:kann|darf|werde|möchte|will)\b[^.!?]*\b(?:nicht|nichts|keine[nrms]?|leider)\b[^.!?]*\b(?:helfen|beantworten|beschreiben|weiterhelfen|antworten|geben|tun|erfüllen|anzeigen|kommentieren|ansehen|verarbeiten|unterstützen)\b",
-            r"\b(?:kann|darf|werde|möchte) ich\b[^.!?]*\b(?:nicht|nichts|keine[nrms]?)\b[^.!?]*\b(?:helfen|beantworten|beschreiben|weiterhelfen|antworten|geben|tun|erfüllen|anzeigen|kommentieren|ansehen|verarbeiten|unterstützen)\b",
             r"\bes ist mir (?:leider )?nicht (?:möglich|erlaubt|gestattet)\b|\bich muss (?:leider )?ablehnen\b",
-            r"\bje ne (?:peux|puis|suis|veux|souhaite)\b[^.!?]*\b(?:pas|répondre|aider|décrire)\b",
             r"\bil m['’]est (?:malheureusement )?(?:impossible|interdit)\b|\bil ne m['’]est pas (?:possible|permis)\b|\bje dois (?:refuser|décliner)\b|\bje refuse\b",
-            r"\bno (?:puedo|podré|podría|voy a|quiero|debo)\b[^.!?]*\b(?:ayudar\w*|responder\w*|describir\w*|contestar\w*|hacer\w*|dar\w*|proporcionar\w*|comentar\w*|asistir\w*|ver|procesar)\b",
             r"\bno me (?:está|es) (?:permitido|posible|permitida)\b|\bme es imposible\b|\bdebo (?:rechazar|negarme|declinar)\b|\bme niego a\b",
-            r"\bnon (?:posso|sono in grado|mi è (?:possibile|permesso))\b[^.!?]*\b(?:aiutar\w*|rispondere|descrivere|di|fornire|assister\w*)\b",
             r"\bnão (?:posso|consigo|estou autorizado|me é (?:possível|permitido))\b",
         ]
-    ).replace(" ", r"\s+").replace(r"\s+?", r"\s*"),
-    re.I,
+    )
 )
+#: Phrases whose parts follow one another with other words of the sentence between them.
+REFUSAL_PARTS = [
+    tuple(map(_phrase, parts))
+    for parts in (
+        (r"\bas an? (?:ai|artificial|language model|assistant)\b", r"\b(?:can ?not|can['’]?t|unable|not able|don['’]?t|do not|not allowed)\b"),
+        (r"\bich (?:kann|darf|werde|möchte|will)\b", r"\b(?:nicht|nichts|keine[nrms]?|leider)\b", r"\b(?:helfen|beantworten|beschreiben|weiterhelfen|antworten|geben|tun|erfüllen|anzeigen|kommentieren|ansehen|verarbeiten|unterstützen)\b"),
+        (r"\b(?:kann|darf|werde|möchte) ich\b", r"\b(?:nicht|nichts|keine[nrms]?)\b", r"\b(?:helfen|beantworten|beschreiben|weiterhelfen|antworten|geben|tun|erfüllen|anzeigen|kommentieren|ansehen|verarbeiten|unterstützen)\b"),
+        (r"\bje ne (?:peux|puis|suis|veux|souhaite)\b", r"\b(?:pas|répondre|aider|décrire)\b"),
+        (r"\bno (?:puedo|podré|podría|voy a|quiero|debo)\b", r"\b(?:ayudar\w*|responder\w*|describir\w*|contestar\w*|hacer\w*|dar\w*|proporcionar\w*|comentar\w*|asistir\w*|ver|procesar)\b"),
+        (r"\bnon (?:posso|sono in grado|mi è (?:possibile|permesso))\b", r"\b(?:aiutar\w*|rispondere|descrivere|di|fornire|assister\w*)\b"),
+    )
+]
 # Words of which one is in every phrase above.
-_DECLINING = frozenset("i i'm i’m i'd my our ai assistant it it's it’s im ich mir je m il no non não me debo".split()) | frozenset(("m'est", "m’est", "n'est"))
-#: A refusal begins the answer; later in a long answer such words belong to what is told.
-REFUSAL_CHARS = 160
+_DECLINING = frozenset("i i'm i’m i'd my our ai assistant possible impossible im ich mir je m il no non não me debo".split()) | frozenset(("m'est", "m’est", "n'est"))
+SENTENCE_END = re.compile(r"[.!?。！？]+(?=\s|$)|\n")
+STOP = re.compile(r"[.!?]+")
+# Words of sentences about the talk itself (apologies, thanks, offers, the request, rules), which tell nothing.
+ABOUT_TALK = re.compile(
+    r"\b(?:sorry|apologi[sz]e|apologies|thanks?|please|unfortunately|understand|assist(?:ance)?|help|feel free|let me know|happy to|glad to|questions?|requests?|asking|guidelines|polic(?:y|ies)|privacy|unable"
+    r"|leid|leider|danke?|bitte|verständnis|fragen?|anfrage|entschuldigung|désolée?|merci|malheureusement|questions?|demande|excuse[rz]?|siento|gracias|lamento|pregunta|solicitud|disculpa\w*|ayudar\w*"
+    r"|spiace|grazie|domanda|richiesta|scus\w+|desculp\w+|obrigad[oa]|pergunta|pedido|infelizmente|lamentablemente|purtroppo)\b",
+    re.I,
+)
 
 ASKS_LANGUAGE = re.compile(
     r"\btranslat|\bübersetz|\btradui|\btraduc|\btradurr|\btraduz"
@@ -142,6 +158,41 @@ def copied(question: list[str], answer: list[str]) -> bool:
     return sum(p in pairs for p in zip(answer, answer[1:])) >= 0.6 * (len(answer) - 1)
 
 
+def refuses(text: str) -> bool:
+    """Whether a phrase by which assistants decline is in the text. Parts are looked for one after the other: no backtracking."""
+    for piece in STOP.split(text):
+        if REFUSAL.search(piece):
+            return True
+        for parts in REFUSAL_PARTS:
+            at = 0
+            for part in parts:
+                found = part.search(piece, at)
+                if not found:
+                    break
+                at = found.end()
+            else:
+                return True
+    return False
+
+
+def declines(text: str, question: list[str]) -> bool:
+    """Whether an answer declines and tells less than that: as many of its sentences decline, wherever, as tell something.
+
+    Sentences about the talk itself and those that only repeat the question tell nothing.
+    """
+    text = QUOTED.sub(" ", text) if any(c in text for c in '"“„«') else text
+    if not refuses(text):
+        return False
+    asked, balance = set(question), 0
+    for sentence in SENTENCE_END.split(text):
+        if refuses(sentence):
+            balance += 1
+        elif not ABOUT_TALK.search(sentence):
+            words = words_of(sentence)
+            balance -= bool(words) and sum(w in asked for w in words) < 0.7 * len(words)
+    return balance >= 0
+
+
 def words_of(text: str | None) -> list[str]:
     return [t for t in truncation.TOKEN.findall(TAG.sub(" ", text).lower()) if t not in truncation.BREAK] if text else []
 
@@ -155,19 +206,18 @@ def rules_of(question: str | None, answer: str | None, q: list[str] | None = Non
     if len(a) > 1 or ":" in bare:
         if "<" in bare:
             bare = TAG.sub(" ", bare)
-        if ":" in bare[:40]:
-            labelled = LABEL.search(bare[:40])
+        if ":" in bare:
+            labelled = LABEL.match(bare)
             if labelled and not WORD.search(bare, labelled.end()):
                 return ["empty"]
-            asked = ASKED.search(bare[:40])
+            asked = ASKED.match(bare)
             a = words_of(bare[asked.end() :]) if asked else a
-        if ASKED.search(question[:40]) if ":" in question[:40] else False:
+        if ":" in question and ASKED.match(question):
             q = words_of(ASKED.sub("", question))
         if copied(q, a):
             found.append("copied")
     if not _DECLINING.isdisjoint(a):
-        start = bare[: 2 * REFUSAL_CHARS]
-        if REFUSAL.search((QUOTED.sub(" ", start) if any(c in start for c in '"“„«') else start)[:REFUSAL_CHARS]):
+        if declines(bare, q):
             found.append("refusal")
     if (len(a) > 1 or not bare.isascii()) and not (len(_ENGLISH.intersection(q)) > 1 and len(_ENGLISH.intersection(a)) > 1):
         if other_language(languages_of(question, q), languages_of(bare, a)) and not ASKS_LANGUAGE.search(question):

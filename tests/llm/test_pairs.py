@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -83,3 +84,25 @@ def test_one_word_after_other_text(spark):
     odd = [(8000 + i, "s", [("human", "What is it?"), ("gpt", a)]) for i, a in enumerate([*cut.values(), *complete])] + [(8100, "s", [("human", whole + "The"), ("gpt", "A")])]
     got = {(r["export_id"], r["turn_no"]) for r in P.cut_turns(spark.createDataFrame(chats + odd, SCHEMA)).where("export_id >= 8000").collect()}
     assert got == {(8000 + i, 1) for i in range(len(cut))} | {(8100, 0)}
+
+
+SORRY = "Thank you very much for your question about the picture that you have sent. "
+ASKED = "What is the man in the long green coat doing beside the old stone fountain in the middle of the market?"
+
+
+@pytest.mark.parametrize("question, answer, rules", [
+    (ASKED, f"{SORRY}{SORRY}I am very sorry, but I can't help with that.", ["refusal"]),
+    (ASKED, f"{ASKED} I apologise. {SORRY} {'Unfortunately, ' * 5}I am not able to assist with this.", ["refusal"]),
+    (ASKED, f"{'Sorry, ' * 21}that is something I cannot help with.", ["refusal"]),
+    (ASKED, "He mends a net. A boy holds the other end of it. Two women carry baskets past them. Somebody says that I can't help. A dog sleeps near the wall.", []),
+    (ASKED, f"{' ' * 50}Answer: ", ["empty"]), (ASKED, f"{'- ' * 30}Question: {ASKED}", ["copied"]),
+])
+def test_whole_answers(question, answer, rules):
+    assert P.rules_of(question, answer) == rules
+
+
+@pytest.mark.parametrize("text", ["ich kann nicht ", "i can't really ", "as an ai ", "no puedo ", "je ne peux ", "I can't help. ", "kann ich nicht\n"])
+def test_refusals_take_no_long_time(text):
+    began = time.process_time()
+    P.rules_of("What is it?", text * (200_000 // len(text)))
+    assert time.process_time() - began < 3
