@@ -57,6 +57,9 @@ REFUSAL = _phrase(
             r"\bil m['’]est (?:malheureusement )?(?:impossible|interdit)\b|\bil ne m['’]est pas (?:possible|permis)\b|\bje dois (?:refuser|décliner)\b|\bje refuse\b",
             r"\bno me (?:está|es) (?:permitido|posible|permitida)\b|\bme es imposible\b|\bdebo (?:rechazar|negarme|declinar)\b|\bme niego a\b",
             r"\bnão (?:posso|consigo|estou autorizado|me é (?:possível|permitido))\b",
+            r"\bhet is (?:voor )?(?:mij|me) (?:helaas )?niet (?:mogelijk|toegestaan)\b|\bik moet (?:helaas )?weigeren\b|\bik weiger\b",
+            r"\bmuszę (?:niestety )?odmówić\b|\bodmawiam\b",
+            r"\bdet är (?:tyvärr )?inte (?:möjligt|tillåtet) för mig\b|\bjag måste (?:tyvärr )?(?:avböja|neka|vägra)\b|\bjag vägrar\b",
         ]
     )
 )
@@ -70,17 +73,23 @@ REFUSAL_PARTS = [
         (r"\bje ne (?:peux|puis|suis|veux|souhaite)\b", r"\b(?:pas|répondre|aider|décrire)\b"),
         (r"\bno (?:puedo|podré|podría|voy a|quiero|debo)\b", r"\b(?:ayudar\w*|responder\w*|describir\w*|contestar\w*|hacer\w*|dar\w*|proporcionar\w*|comentar\w*|asistir\w*|ver|procesar)\b"),
         (r"\bnon (?:posso|sono in grado|mi è (?:possibile|permesso))\b", r"\b(?:aiutar\w*|rispondere|descrivere|di|fornire|assister\w*)\b"),
+        (r"\bik (?:kan|mag|zal|wil)\b", r"\b(?:niet|niets|geen)\b", r"\b(?:helpen|beantwoorden|beschrijven|antwoorden|geven|doen|uitvoeren|weergeven|bekijken|verwerken|ondersteunen|verstrekken)\b"),
+        (r"\b(?:kan|mag|zal|wil) ik\b", r"\b(?:niet|niets|geen)\b", r"\b(?:helpen|beantwoorden|beschrijven|antwoorden|geven|doen|uitvoeren|weergeven|bekijken|verwerken|ondersteunen|verstrekken)\b"),
+        (r"\bnie (?:mogę|jestem w stanie|będę|chcę|potrafię|wolno mi)\b", r"\b(?:pomóc|pomagać|odpowiedzieć|odpowiadać|opisać|opisywać|podać|udzielić|zrobić|spełnić|wyświetlić|skomentować|przetworzyć|wygenerować|zidentyfikować|udostępnić)\b"),
+        (r"\bjag (?:kan|får|vill|kommer)\b", r"\b(?:inte|inget|inga|ingen)\b", r"\b(?:hjälpa|svara|besvara|beskriva|ge|göra|visa|kommentera|bearbeta|tillhandahålla|identifiera|generera)\b"),
+        (r"\b(?:kan|får|vill|kommer) jag\b", r"\b(?:inte|inget|inga|ingen)\b", r"\b(?:hjälpa|svara|besvara|beskriva|ge|göra|visa|kommentera|bearbeta|tillhandahålla|identifiera|generera)\b"),
     )
 ]
 # Words of which one is in every phrase above.
-_DECLINING = frozenset("i i'm i’m i'd my our ai assistant possible impossible im ich mir je m il no non não me debo".split()) | frozenset(("m'est", "m’est", "n'est"))
+_DECLINING = frozenset("i i'm i’m i'd my our ai assistant possible impossible im ich mir je m il no non não me debo ik mij nie odmawiam muszę jag mig".split()) | frozenset(("m'est", "m’est", "n'est"))
 SENTENCE_END = re.compile(r"[.!?。！？]+(?=\s|$)|\n")
 STOP = re.compile(r"[.!?]+")
 # Words of sentences about the talk itself (apologies, thanks, offers, the request, rules), which tell nothing.
 ABOUT_TALK = re.compile(
     r"\b(?:sorry|apologi[sz]e|apologies|thanks?|please|unfortunately|understand|assist(?:ance)?|help|feel free|let me know|happy to|glad to|questions?|requests?|asking|guidelines|polic(?:y|ies)|privacy|unable"
     r"|leid|leider|danke?|bitte|verständnis|fragen?|anfrage|entschuldigung|désolée?|merci|malheureusement|questions?|demande|excuse[rz]?|siento|gracias|lamento|pregunta|solicitud|disculpa\w*|ayudar\w*"
-    r"|spiace|grazie|domanda|richiesta|scus\w+|desculp\w+|obrigad[oa]|pergunta|pedido|infelizmente|lamentablemente|purtroppo)\b",
+    r"|spiace|grazie|domanda|richiesta|scus\w+|desculp\w+|obrigad[oa]|pergunta|pedido|infelizmente|lamentablemente|purtroppo"
+    r"|spijt|helaas|bedankt|vraag|vragen|verzoek|przykro|przepraszam|niestety|dziękuję|proszę|pytani\w+|prośb\w+|tyvärr|ledsen|tack|fråg\w+|förfrågan)\b",
     re.I,
 )
 

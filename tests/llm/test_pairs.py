@@ -106,3 +106,12 @@ def test_refusals_take_no_long_time(text):
     began = time.process_time()
     P.rules_of("What is it?", text * (200_000 // len(text)))
     assert time.process_time() - began < 3
+
+
+@pytest.mark.parametrize("question, answer, rules", [
+    ("Wat ligt er op de tafel?", "Het spijt me, maar daar kan ik niet mee helpen.", ["refusal"]), ("Wat ligt er op de tafel?", "Helaas kan ik deze vraag niet beantwoorden.", ["refusal"]), ("Wat ligt er op de tafel?", "Ik moet weigeren.", ["refusal"]), ("Wat ligt er op de tafel?", "De lamp staat niet op de tafel.", []),
+    ("Co leży na stole?", "Przykro mi, ale nie mogę w tym pomóc.", ["refusal"]), ("Co leży na stole?", "Niestety nie jestem w stanie odpowiedzieć na to pytanie.", ["refusal"]), ("Co leży na stole?", "Muszę odmówić.", ["refusal"]), ("Co leży na stole?", "Lampa nie leży na stole.", []),
+    ("Vad står på bordet?", "Tyvärr kan jag inte hjälpa till med det.", ["refusal"]), ("Vad står på bordet?", "Jag kan inte svara på frågan.", ["refusal"]), ("Vad står på bordet?", "Jag måste avböja.", ["refusal"]), ("Vad står på bordet?", "Lampan står inte på bordet.", []),
+])
+def test_refusals_in_dutch_polish_and_swedish(question, answer, rules):
+    assert P.rules_of(question, answer) == rules
