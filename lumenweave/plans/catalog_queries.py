@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import text as X
+from ..generation.convert import statements
+from ..generation.model import EchoClient
 from ..generation.process import assign_prompts
 from ..generation.prompts import DISTRIBUTIONS
 from ..operators import boxes, catalog
@@ -81,6 +83,13 @@ def information_lines(spark: SparkSession, d: str) -> DataFrame:
     return catalog.information_lines(_annotations(spark, d), keys=("ann_id",)).select("ann_id", "dataset", "pos", "line")
 
 
+def record_information(spark: SparkSession, d: str) -> DataFrame:
+    """All information of each record as one list: captions, statements by the offline model, the text of its boxes."""
+    rows = _annotations(spark, d)
+    box_text = box_flat_texts(spark, d).select("ann_id", F.array("text").alias("lines"))
+    return catalog.information(rows, statements(rows.select("ann_id", "qa"), EchoClient, ("ann_id",)), box_text, ("ann_id",))
+
+
 def enough_information(spark: SparkSession, d: str) -> DataFrame:
     rows = _annotations(spark, d)
     return rows.select("ann_id", X.total_length(F.col("captions")).alias("n"), X.enough_information(F.col("captions")).alias("enough"))
@@ -173,7 +182,7 @@ def scene_graph_boxes(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (annotation_records, source_counts, drop_imageset, drop_dataset, drop_dataset_alone, merged_catalogue, pending_images, reserved_images, sampled_images, images_listed, information_lines, enough_information,
+    for f in (annotation_records, source_counts, drop_imageset, drop_dataset, drop_dataset_alone, merged_catalogue, pending_images, reserved_images, sampled_images, images_listed, information_lines, record_information, enough_information,
               weighted_prompts, unit_boxes, box_overlaps, box_containment, merged_boxes, box_tree_texts, box_flat_texts, box_steps, type_counts, type_averages, scene_graph_boxes)
 }
 

@@ -54,6 +54,12 @@ def collected_results(spark: SparkSession, d: str) -> DataFrame:
     return _results(spark, d).groupBy("run_id", "image_path").agg(F.count("*").alias("n"), F.min("attempt").alias("first"), F.max("attempt").alias("last"))
 
 
+def picture_results(spark: SparkSession, d: str) -> DataFrame:
+    """Every step of each picture at its place in the list that ``results.collect`` makes."""
+    rows = results.collect(_results(spark, d)).select("image_path", F.posexplode("results").alias("pos", "r"))
+    return rows.select("image_path", "pos", "r.run_id", "r.attempt", "r.step", "r.prompt_type", F.size("r.output").alias("n_messages"))
+
+
 def counted_results(spark: SparkSession, d: str) -> DataFrame:
     """Pictures of each run, with those only claimed: a claim for each picture with an even number of characters in its path."""
     rows = _results(spark, d)
@@ -162,7 +168,7 @@ def generated_results(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (conversation_export, first_attempts, qa_pairs, conversation_statistics, collected_results, counted_results, cleaned_results, gated_pairs, verdicts, sentence_split, reduced_information, transcripts, content_hashes,
+    for f in (conversation_export, first_attempts, qa_pairs, conversation_statistics, collected_results, picture_results, counted_results, cleaned_results, gated_pairs, verdicts, sentence_split, reduced_information, transcripts, content_hashes,
               majority_answers, contradictions, numeric_modes, label_distances, padded_paths, relation_labels, counting_statements, choices, generated_results)
 }
 
@@ -177,6 +183,7 @@ SQL = {
     "qa_pairs": f"WITH {_PAIRS} SELECT export_id, n, question, answer FROM p",
     "conversation_statistics": f"WITH {_FIRST} SELECT count(DISTINCT image) AS n_images, count(*) AS n_conversations, sum(len(conversations))::BIGINT AS n_messages FROM f WHERE len(conversations) > 0 AND run_id IS NOT NULL AND image IS NOT NULL",
     "collected_results": f"WITH {_CHATS} SELECT run_id, image AS image_path, count(*) AS n, min(export_id)::INT AS \"first\", max(export_id)::INT AS \"last\" FROM ch GROUP BY run_id, image",
+    "picture_results": f"WITH {_CHATS} SELECT image AS image_path, (row_number() OVER (PARTITION BY image ORDER BY run_id NULLS FIRST, export_id) - 1)::INT AS pos, run_id, export_id::INT AS attempt, 0 AS step, prompt_type, coalesce(len(conversations), -1)::INT AS n_messages FROM ch WHERE image IS NOT NULL",
     "counted_results": f"WITH {_CHATS} SELECT run_id, 2 * count(DISTINCT image) + (count(*) > count(image))::INT AS n_images, count(DISTINCT image) AS n_empty FROM ch GROUP BY run_id",
     "cleaned_results": f"WITH {_TURNS} SELECT DISTINCT export_id FROM t WHERE len(trim(value)) > 0",
     "gated_pairs": f"WITH {_PAIRS} SELECT export_id, question, answer FROM p WHERE len(trim(coalesce(answer, ''))) > 3 AND export_id IN (SELECT export_id FROM p WHERE n = 0 AND len(trim(coalesce(answer, ''))) > 3)",
