@@ -38,16 +38,28 @@ def p4_relation_ends(spark: SparkSession, d: str) -> DataFrame:
     return _flat(spark, d, "ends")
 
 
-def p4_orphans(spark: SparkSession, d: str) -> DataFrame:
-    """Children per kind, and those whose object is not among the objects of their image."""
+def _orphans(spark: SparkSession, d: str, names: bool) -> DataFrame:
     t = nested.scene_graph_tables(*_read(spark, d))
     parents = t["objects"].where("image_id is not null and object_id is not null").select("image_id", "object_id", F.lit(True).alias("there")).distinct()
     parts = [t["attributes"].select(nested.LABEL, "image_id", "object_id", F.lit("attribute").alias("child")), t["ends"].select(nested.LABEL, "image_id", "object_id", F.col("end").alias("child"))]
-    rows = parts[0].unionByName(parts[1]).dropDuplicates(["child", nested.LABEL])
+    rows = parts[0].unionByName(parts[1])
+    if names:
+        rows = rows.unionByName(t["names"].select(nested.LABEL, "image_id", "object_id", F.lit("name").alias("child")))
+    rows = rows.dropDuplicates(["child", nested.LABEL])
     return rows.join(parents, ["image_id", "object_id"], "left").groupBy("child").agg(F.count("*").alias("n"), F.count_if(F.col("there").isNull()).alias("n_orphans"))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_objects, p4_names, p4_attributes, p4_relation_ends, p4_orphans)}
+def p4_orphans(spark: SparkSession, d: str) -> DataFrame:
+    """Attributes and relation ends per kind, and those whose object is not among the objects of their image."""
+    return _orphans(spark, d, False)
+
+
+def p4_orphans_by_kind(spark: SparkSession, d: str) -> DataFrame:
+    """The same of all four kinds of children: names too, whose object may have no id or no image."""
+    return _orphans(spark, d, True)
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p4_objects, p4_names, p4_attributes, p4_relation_ends, p4_orphans, p4_orphans_by_kind)}
 
 _OBJECTS = "objs AS (SELECT DISTINCT o.rec_id, o.image_id, g.i, o.objects[g.i] AS x FROM vg_objects o, range(1, 1000) g(i) WHERE g.i <= len(o.objects))"
 _LISTS = "lists AS (SELECT DISTINCT a.rec_id, a.image_id, g.i, a.attributes[g.i] AS x FROM vg_attributes a, range(1, 1000) g(i) WHERE g.i <= len(a.attributes))"
@@ -75,3 +87,4 @@ children AS (SELECT image_id, x.object_id AS object_id, 'attribute' AS child FRO
  UNION ALL SELECT image_id, object_id, child FROM linked)
 SELECT child, count(*) AS n, count(*) FILTER (WHERE p.image_id IS NULL) AS n_orphans FROM children c LEFT JOIN parents p ON c.image_id = p.image_id AND c.object_id = p.object_id GROUP BY child""",
 }
+SQL["p4_orphans_by_kind"] = SQL["p4_orphans"].replace("FROM linked)", "FROM linked\n UNION ALL SELECT image_id, object_id, 'name' FROM (SELECT image_id, x.object_id AS object_id, unnest(x.names) FROM objs))")

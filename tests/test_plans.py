@@ -33,3 +33,10 @@ def test_picture_results(spark):
         lists.setdefault(r["image"], []).append((r["run_id"], r["export_id"], r["prompt_type"], len(r["conversations"])))
     got = {(r["image_path"], r["pos"]): (r["run_id"], r["attempt"], r["prompt_type"], r["n_messages"]) for r in entry.queries()["picture_results"](spark, DATA).collect()}
     assert got == {(image, i): x for image, rows in lists.items() for i, x in enumerate(rows)}
+
+
+def test_orphans_of_all_kinds(spark):
+    names = entry.queries()["p4_names"](spark, DATA).collect()
+    got = {r["child"]: (r["n"], r["n_orphans"]) for r in entry.queries()["p4_orphans_by_kind"](spark, DATA).collect()}
+    assert got.pop("name") == (len(names), sum(r["image_id"] is None or r["object_id"] is None for r in names))
+    assert got == {r["child"]: (r["n"], r["n_orphans"]) for r in entry.queries()["p4_orphans"](spark, DATA).collect()} and len(got) == 3
