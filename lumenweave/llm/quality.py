@@ -5,9 +5,10 @@ fitted by expectation-maximization on the standardized statistics of all documen
 sums responsibilities and moments per component, so the driver sees a few numbers per component and never documents.
 
 The mixture starts from ``EXAMPLES``, short inspected texts of prose, lists, tables and junk in their usual forms: every
-group of examples is one component, which is drawn back to its start with the weight of ``PRIOR`` documents, so a form that
-is rare or missing in the corpus keeps its component and its meaning. A document has the kind whose components have the
-largest share of its responsibilities.
+group of examples is one component, which is drawn back to its start with the weight of ``PRIOR_SHARE`` times an even share
+of the corpus, so a form that is rare or missing in the corpus keeps its component and its meaning, and a corpus has the same
+mixture as any number of copies of it. A document has the kind whose components have the largest share of its
+responsibilities.
 
 Texts that are null, empty or without a visible character have no statistics but their zeros, and are junk. Rows without a
 key are no records; a repeated key counts once.
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +44,11 @@ WIDE = re.compile(r"(?<=\S)[ \t]{2,}(?=\S)|\t")
 STATISTICS = ("word_count_log", "mean_word_length", "symbol_ratio", "digit_ratio", "ended_line_share", "common_word_share", "bullet_line_share", "same_field_share", "words_per_segment_log", "new_pair_share", "strange_word_share", "markup_ratio", "mojibake_ratio")
 COLUMNS = ("n_chars", "n_words", "n_lines", *STATISTICS)
 
-PRIOR, STEPS, LEAST_DEVIATION = 50.0, 12, 0.15
+#: Weight of a component's start: this part of the documents that an even split of the corpus would give it.
+PRIOR_SHARE = 0.5
+#: The fit ends when a step raises the mean log likelihood of a document by less than this; steps after which it warns instead.
+TOLERANCE, STEPS = 1e-3, 100
+LEAST_DEVIATION = 0.15
 
 
 _MARKS = ("<", "{", "}", ";", "&", "==", '="', "()")
@@ -154,10 +160,11 @@ class Mixture:
         return p / total, (top + np.log(total)).ravel()
 
     def maximize(self, n: np.ndarray, s: np.ndarray, s2: np.ndarray) -> None:
-        """New parameters from the sums of responsibilities, of values and of squares, with ``PRIOR`` documents at the start."""
-        m = n + PRIOR
-        self.mean = (s + PRIOR * self.start) / m[:, None]
-        square = (s2 + PRIOR * (self.start_deviation**2 + self.start**2)) / m[:, None]
+        """New parameters from the sums of responsibilities, of values and of squares, and the start with its weight."""
+        prior = PRIOR_SHARE * n.sum() / len(n)
+        m = n + prior
+        self.mean = (s + prior * self.start) / m[:, None]
+        square = (s2 + prior * (self.start_deviation**2 + self.start**2)) / m[:, None]
         self.deviation = np.maximum(np.sqrt(np.maximum(square - self.mean**2, 0)), LEAST_DEVIATION)
         self.weight = m / m.sum()
 
@@ -166,8 +173,11 @@ class Mixture:
         return {k: p[:, [i for i, own in enumerate(self.kinds) if own == k]].sum(axis=1) for k in dict.fromkeys(self.kinds)}
 
 
-def fit(stats: DataFrame, steps: int = STEPS, tolerance: float = 1e-3) -> Mixture:
-    """The mixture of all documents with text in ``stats``; as it starts if there are none."""
+def fit(stats: DataFrame, steps: int = STEPS, tolerance: float = TOLERANCE) -> Mixture:
+    """The mixture of all documents with text in ``stats``; as it starts if there are none.
+
+    Warns if ``steps`` steps don't reach the tolerance.
+    """
     stats = stats.where("n_lines > 0")
     moments = stats.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in STATISTICS for f in (F.avg, F.stddev_pop)]).first()
     known = np.array([statistics(t)[3:] for _, _, texts in EXAMPLES for t in texts])
@@ -196,6 +206,8 @@ def fit(stats: DataFrame, steps: int = STEPS, tolerance: float = 1e-3) -> Mixtur
         if mean_log - before < tolerance:
             break
         before = mean_log
+    else:
+        warnings.warn(f"the mixture has not settled after {steps} steps", stacklevel=2)
     return mixture
 
 

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from lumenweave.llm import quality as Q
 from lumenweave.llm.quality_examples import EXAMPLES
@@ -46,6 +47,18 @@ def test_kinds(spark):
     assert sum(same[i] != got[i] for i in got) <= 1
 
 
+def test_copies_of_a_corpus_have_its_kinds(spark):
+    rows = [(i + 1000 * k, t) for k in range(10) for i, (_, t) in enumerate(_corpus(random.Random(3)))]
+    once, ten = ({r["doc_id"]: r["kind"] for r in Q.kinds(spark.createDataFrame(part, "doc_id bigint, text string")).collect()} for part in (rows[: len(rows) // 10], rows))
+    assert all(kind == once[i % 1000] for i, kind in ten.items())
+
+
+def test_warning_where_the_fit_does_not_settle(spark):
+    stats = Q.document_statistics(spark.createDataFrame(list(enumerate(t for _, t in _corpus(random.Random(4)))), "doc_id bigint, text string"))
+    with pytest.warns(UserWarning, match="not settled after 1 steps"):
+        Q.fit(stats, steps=1)
+
+
 def test_one_document_and_none(spark):
     df = spark.createDataFrame([(1, "The cat is on the mat, and it sleeps there all the day.")], "doc_id bigint, text string")
     assert [r["kind"] for r in Q.kinds(df).collect()] == ["prose"]
