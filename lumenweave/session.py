@@ -17,6 +17,9 @@ BROADCAST_ROWS = 200_000
 #: ... and their texts have at most so many bytes.
 BROADCAST_BYTES = 64_000_000
 
+#: Keys of a skewed join that are broadcast at most, each with more than this part of all rows.
+HOT_KEYS = 10_000
+
 _written: list[tuple[SparkSession, str]] = []
 _local: dict[str, str] = {}
 _shipped: set[str] = set()
@@ -93,6 +96,21 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if small(df, limit) else df
 
 
+def look_up(left: DataFrame, right: DataFrame, on: list[str], weight: str, most_rows: int = BROADCAST_ROWS, hot: int = HOT_KEYS) -> DataFrame:
+    """Inner join of a skewed ``left`` with ``right``, a written table of one row for each key, ``weight`` how often ``left`` has it.
+
+    A small ``right`` is broadcast. Of a larger one the keys with more than one ``hot``-th of all weight are, of which there
+    are at most ``hot``; the other keys, none of them hot, are shuffled. ``weight`` is not in the result.
+    """
+    if small(right, most_rows):
+        return left.join(F.broadcast(right.drop(weight)), on)
+    total = right.agg(F.sum(weight)).first()[0] or 0
+    often = F.coalesce(F.col(weight) * hot > total, F.lit(False))
+    top = right.where(often).drop(weight)
+    rest = left.join(F.broadcast(top.select(*on)), on, "left_anti").join(right.where(~often).drop(weight).hint("shuffle_hash"), on)
+    return left.join(F.broadcast(top), on).unionByName(rest)
+
+
 @atexit.register
 def _clean() -> None:
     for spark, path in _written:

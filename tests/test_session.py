@@ -25,3 +25,13 @@ def test_broadcast_only_what_is_small(spark):
 def test_shared_folder(spark):
     folder = S.shared_dir(spark)
     assert folder == S.shared_dir(spark)
+
+
+def test_look_up_of_hot_keys(spark):
+    left = spark.createDataFrame([(i, "the" if i % 3 else f"w{i % 50}") for i in range(600)] + [(-1, None), (-2, "unknown")], "i int, w string")
+    right = left.where("w != 'unknown'").groupBy("w").agg(F.count("*").alias("n")).withColumn("x", F.length("w")).where("w is not null")
+    expected = sorted(map(tuple, left.join(right.drop("n"), "w").collect()))
+    for rows, hot in ((1000, 10), (5, 10), (5, 1), (0, 1000)):
+        got = S.look_up(left, right, ["w"], "n", rows, hot)
+        assert got.columns == ["w", "i", "x"] and sorted(map(tuple, got.collect())) == expected
+    assert S.look_up(left, right.limit(0), ["w"], "n").count() == 0
