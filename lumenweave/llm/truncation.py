@@ -5,7 +5,7 @@ with a mark of a cut (dots, an ellipsis, a broken character) after some words is
 from the corpus itself, counted over all its values:
 
 1. *Trie.* The last token is no complete word of the corpus but a proper prefix of one. The trie of the vocabulary is held
-   as the table of its nodes (every proper prefix of every frequent word); walking it is a join on the prefix.
+   as the table of its nodes (every proper prefix of every word); walking it is a join on the prefix.
 2. *Endings.* How often the last two words, and the last word alone, stand at the end of a sentence or line against inside
    one. A value that ends where hardly any sentence ends is cut. Of a last segment of one word after other text the break is
    the word before; a value of one word only (``A``, ``Yes``) is judged by the trie alone. A letter that is a segment by itself
@@ -18,7 +18,7 @@ from the corpus itself, counted over all its values:
 
 One Arrow pass over the texts gives the counts and the open ends; all joins after it are between counts of distinct words
 and pairs of words and the values without an end. No vocabulary is sent to the driver or broadcast unless its counted size is
-small. Null, empty and wordless values are no cases.
+small; beyond that frequent words are broadcast and the others shuffled. Null, empty and wordless values are no cases.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small, materialise
+from ..session import broadcast_if_small, look_up, materialise
 
 IMAGE = re.compile(r"<image>")
 # Last characters of a value that is complete (ends of sentences, what closes after them), and those that
@@ -57,17 +57,18 @@ OPTION = re.compile(r"^\s*\(?[A-Z][.)]\s+(?=\S)")
 #: The letter of an option on a line of its own that is announced: ``Answer:``, then ``A``.
 ANNOUNCED = re.compile(r":\s*[A-Z]$")
 
-#: Least count of a word of the trie, and of a word or word pair that is judged by how it ends.
-TRIE_COUNT, WORD_COUNT, PAIR_COUNT = 5, 50, 20
-#: A token is no word if words that begin with it are this many times as frequent.
-PIECE_FACTOR = 200
-#: Least share of ends at which a value may end, of a pair and of a word; the pair's at a length limit.
-END_SHARE, WORD_END_SHARE, LIMIT_END_SHARE = 0.01, 0.02, 0.08
-#: Sentence types: from this share of ends on, a word (``WORD_COUNT`` times seen) stands for sentences that end; log odds; and
-#: the share of ends below which the last words must be.
-TYPE_SHARE, TYPE_ODDS, TYPE_END_SHARE = 0.975, 2.0, 0.03
-#: A length is a limit if this many times more open values have it than the lengths within ``AROUND`` have on average.
-LIMIT_FACTOR, LIMIT_COUNT, LIMIT_CHARS, AROUND = 4.0, 5, 100, 8
+#: Shares of ends are judged by their bounds of confidence, so many deviations from what was counted (Wilson's interval).
+DEVIATIONS = 1.0
+#: A token is no word if words that begin with it are this many times as frequent, and if their share of all has this lower bound.
+PIECE_FACTOR, PIECE_SHARE = 200, 0.8
+#: Share of ends below which no value ends: of a pair with the word's share mixed in, and the upper bounds of a word and a pair.
+END_SHARE, WORD_END_SHARE, PAIR_END_SHARE = 0.01, 0.02, 0.05
+#: Sentence types: a word whose share of ends has at least this lower bound stands for sentences that end; log odds; and the
+#: share of ends below which the last words must be, of a pair with the word's share mixed in and the upper bound of a word.
+TYPE_SHARE, TYPE_ODDS, TYPE_END_SHARE, TYPE_WORD_END_SHARE = 0.975, 2.0, 0.03, 0.05
+#: A length is a limit if the lower bound of the open values that have it is this many times what the lengths within ``AROUND``
+#: have on average, and one value more; at a limit a value is cut if its last words end less often than the share.
+LIMIT_FACTOR, AROUND, LIMIT_END_SHARE = 4.0, 8, 0.08
 
 #: A partition's counts are handed on when those of its batches have this many entries.
 FLUSH = 5_000_000
@@ -239,7 +240,15 @@ def limits(tails: DataFrame) -> DataFrame:
     counts = tails.where("not marked").groupBy("n_chars").agg(F.count("*").alias("n"))
     around = counts.select("n", F.explode(F.sequence(F.col("n_chars") - AROUND, F.col("n_chars") + AROUND)).alias("n_chars")).groupBy("n_chars").agg(F.sum("n").alias("all"))
     near = (F.col("all") - F.col("n")) / (2 * AROUND)
-    return counts.where(F.col("n_chars") >= LIMIT_CHARS).join(around, "n_chars").where((F.col("n") >= LIMIT_COUNT) & (F.col("n") > LIMIT_FACTOR * F.greatest(near, F.lit(0.5)))).select("n_chars")
+    sure = F.col("n") - DEVIATIONS * F.sqrt("n")
+    return counts.join(around, "n_chars").where(sure > LIMIT_FACTOR * near + 1).select("n_chars")
+
+
+def bound(part: Column, n: Column, side: int) -> Column:
+    """Wilson's lower (``side`` -1) or upper (1) bound of the share ``part / n``; 0 or 1 where nothing was counted."""
+    p, z2 = F.try_divide(part, n), DEVIATIONS**2
+    at = (p + z2 / (2 * n) + side * DEVIATIONS * F.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+    return F.when(n > 0, at).otherwise(float(side > 0))
 
 
 def trie_nodes(words: DataFrame) -> DataFrame:
@@ -259,32 +268,33 @@ def cut_values(rows: DataFrame) -> DataFrame:
     pairs, types = counts.where("b is not null"), counts.where("b is null").drop("b")
     words = pairs.groupBy(F.col("b").alias("word")).agg(F.sum("n").alias("n"), F.sum("ends").alias("ends"))
     open_tails = tails.where("not marked and not open_pair")
-    nodes = trie_nodes(words.where((F.col("n") >= TRIE_COUNT) & ~F.col("word").rlike("[0-9]")))
+    nodes = trie_nodes(words.where(~F.col("word").rlike("[0-9]")))
     zero = lambda c, name: F.coalesce(F.col(c), F.lit(0)).alias(name)
-    asked = open_tails.select("word_before", "last_word").distinct()
+    asked = open_tails.groupBy("word_before", "last_word").agg(F.count("*").alias("n_asked"))
     last = asked.select("last_word").distinct().join(words.withColumnRenamed("word", "last_word"), "last_word", "left").join(nodes.withColumnRenamed("prefix", "last_word"), "last_word", "left")
     last = last.select("last_word", zero("n", "word_n"), zero("ends", "word_ends"), zero("below", "below"))
     known = asked.join(pairs.withColumnsRenamed({"a": "word_before", "b": "last_word", "n": "pair_n", "ends": "pair_ends"}), ["word_before", "last_word"], "left")
-    known = known.select("word_before", "last_word", zero("pair_n", "pair_n"), zero("pair_ends", "pair_ends")).join(last, "last_word")
+    known = known.select("word_before", "last_word", "n_asked", zero("pair_n", "pair_n"), zero("pair_ends", "pair_ends")).join(last, "last_word")
     # sentence type: log odds of the words before the last one, and the largest share of ends among them
     one = types.where("a = ''").select("n", "ends")
     closed, open_ = one.select("ends").scalar(), one.select(F.col("n") - F.col("ends")).scalar()
     odds = F.log(((F.col("ends") + 1) / (closed + 2)) / ((F.col("n") - F.col("ends") + 1) / (open_ + 2)))
-    word_odds = types.where("a != ''").select(F.col("a").alias("w"), odds.alias("odds"), F.when(F.col("n") >= WORD_COUNT, F.col("ends") / F.col("n")).otherwise(0.0).alias("closed_share"))
+    word_odds = types.where("a != ''").select(F.col("a").alias("w"), (F.col("n") - F.col("ends")).alias("n_open"), odds.alias("odds"), bound(F.col("ends"), F.col("n"), -1).alias("closed_share"))
     each = open_tails.select("export_id", "turn_no", F.explode(F.array_distinct(F.slice("words", 1, F.size("words") - 1))).alias("w"))
-    type_of = each.join(broadcast_if_small(word_odds), "w").groupBy("export_id", "turn_no").agg(F.sum("odds").alias("type_odds"), F.max("closed_share").alias("closed_share"))
+    type_of = look_up(each, materialise(word_odds), ["w"], "n_open").groupBy("export_id", "turn_no").agg(F.sum("odds").alias("type_odds"), F.max("closed_share").alias("closed_share"))
     at_limit = broadcast_if_small(limits(tails).withColumn("at_limit", F.lit(True)))
-    scored = open_tails.join(broadcast_if_small(materialise(known)), ["word_before", "last_word"]).join(at_limit, "n_chars", "left").join(type_of, ["export_id", "turn_no"], "left")
+    scored = look_up(open_tails, materialise(known), ["word_before", "last_word"], "n_asked").join(at_limit, "n_chars", "left").join(type_of, ["export_id", "turn_no"], "left")
     scored = scored.na.fill({"type_odds": 0.0, "closed_share": 0.0, "at_limit": False})
     word_share = F.coalesce(F.try_divide(F.col("word_ends"), F.col("word_n")), F.lit(0.0))
     share = (F.col("pair_ends") + 5 * word_share) / (F.col("pair_n") + 5)
     sentence = (F.col("closed_share") >= TYPE_SHARE) & (F.col("type_odds") > TYPE_ODDS)
-    never = (share < END_SHARE) & (((F.col("word_n") >= WORD_COUNT) & (word_share < WORD_END_SHARE)) | ((F.col("pair_n") >= PAIR_COUNT) & sentence))
+    word_most, pair_most = bound(F.col("word_ends"), F.col("word_n"), 1), bound(F.col("pair_ends"), F.col("pair_n"), 1)
+    never = (share < END_SHARE) & ((word_most < WORD_END_SHARE) | (pair_most < PAIR_END_SHARE) & sentence)
     several = F.size("words") > 1
     reason = (
-        F.when(F.col("below") > PIECE_FACTOR * F.col("word_n"), "word")
+        F.when((F.col("below") > PIECE_FACTOR * F.col("word_n")) & (bound(F.col("below"), F.col("below") + F.col("word_n"), -1) >= PIECE_SHARE), "word")
         .when(several & never, "ending")
-        .when(several & sentence & ((F.col("word_n") == 0) | ((F.col("word_n") >= WORD_COUNT) & (share < TYPE_END_SHARE))), "type")
+        .when(several & sentence & ((F.col("word_n") == 0) | (word_most < TYPE_WORD_END_SHARE) & (share < TYPE_END_SHARE)), "type")
         .when(several & F.col("at_limit") & (share < LIMIT_END_SHARE), "length")
     )
     judged = scored.withColumns({"reason": reason, "share": share})

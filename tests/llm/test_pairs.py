@@ -2,7 +2,9 @@ import random
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
+from lumenweave import session
 from lumenweave.llm import pairs as P
 from lumenweave.llm import truncation as T
 
@@ -62,6 +64,28 @@ def test_cuts(spark):
     assert P.defects(df.limit(0)).count() == 0 and P.cut_turns(df.limit(0)).count() == 0
 
 
+def test_cuts_without_broadcasts(spark, monkeypatch):
+    chats, _ = _corpus(random.Random(5), 300)
+    df = spark.createDataFrame(chats, SCHEMA)
+    got = [sorted(map(tuple, P.cut_turns(df).select("export_id", "turn_no").collect()))]
+    monkeypatch.setattr(session, "small", lambda *a, **k: False)
+    got.append(sorted(map(tuple, P.cut_turns(df).select("export_id", "turn_no").collect())))
+    assert got[0] == got[1] != []
+
+
+def test_same_cuts_in_a_tenth_of_the_corpus(spark):
+    chats, _ = _corpus(random.Random(6), 3000)
+    df = spark.createDataFrame(chats, SCHEMA)
+    whole, part = ({(r["export_id"], r["turn_no"]) for r in P.cut_turns(rows).collect()} for rows in (df, df.where("export_id < 300")))
+    whole = {k for k in whole if k[0] < 300}
+    assert len(whole & part) >= 0.9 * len(whole | part)
+
+
+def test_bounds_of_shares(spark):
+    got = spark.createDataFrame([(0, 0), (0, 50), (50, 50), (1, 4)], "part int, n int").select(T.bound(F.col("part"), F.col("n"), -1), T.bound(F.col("part"), F.col("n"), 1)).collect()
+    assert tuple(got[0]) == (0, 1) and got[1][0] == pytest.approx(0) and got[1][1] == pytest.approx(1 / 51) and got[2][0] == pytest.approx(50 / 51) and got[3][0] < 0.25 < got[3][1]
+
+
 def test_open_ends():
     assert T._open_pair('It says "No') and T._open_pair("It is (so") and T._open_pair("First,") and not T._open_pair('It says "No".')
     c = T.Collector()
