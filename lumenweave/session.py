@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import tempfile
 import uuid
 import zipfile
@@ -20,7 +19,10 @@ BROADCAST_BYTES = 64_000_000
 #: Keys of a skewed join that are broadcast at most, each with more than this part of all rows.
 HOT_KEYS = 10_000
 
-_written: list[tuple[SparkSession, str]] = []
+#: Setting by which a job's shuffle files are deleted when it has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+_written: dict[str, SparkSession] = {}
 _local: dict[str, str] = {}
 _shipped: set[str] = set()
 
@@ -50,23 +52,38 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts the lineage and survives the loss of executors."""
+    """Write ``df`` to the shared folder and read it back: cuts the lineage and survives the loss of executors.
+
+    Shuffle files of the job that writes go with its end, as nothing reads them again.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    try:
+        spark.conf.set(_CLEANUP, "true")
+        writer.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    _written[path] = spark
+    out._stage = path
+    return out
+
+
+def forget(*stages: DataFrame) -> None:
+    """Deletes written stages that nothing reads any more."""
+    for stage in stages:
+        path = getattr(stage, "_stage", None)
+        if path in _written:
+            _delete(_written.pop(path), path)
 
 
-def release(spark: SparkSession | None = None) -> None:
-    """Lets Spark delete the shuffle files of finished plans now: they go when the driver collects its garbage."""
-    gc.collect()
-    spark = spark or SparkSession.getActiveSession()
-    if spark is not None and hasattr(spark, "_jvm"):
-        spark._jvm.System.gc()
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def ship(spark: SparkSession) -> None:
@@ -96,27 +113,26 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if small(df, limit) else df
 
 
-def look_up(left: DataFrame, right: DataFrame, on: list[str], weight: str, most_rows: int = BROADCAST_ROWS, hot: int = HOT_KEYS) -> DataFrame:
-    """Inner join of a skewed ``left`` with ``right``, a written table of one row for each key, ``weight`` how often ``left`` has it.
+def look_up(left: DataFrame, right: DataFrame, on: list[str], weight: str, how: str = "inner", most_rows: int = BROADCAST_ROWS, hot: int = HOT_KEYS) -> DataFrame:
+    """Inner, semi or anti join of a skewed ``left`` with ``right``, a written table of one row for each key.
 
-    A small ``right`` is broadcast. Of a larger one the keys with more than one ``hot``-th of all weight are, of which there
-    are at most ``hot``; the other keys, none of them hot, are shuffled. ``weight`` is not in the result.
+    ``weight`` is how often ``left`` has the key; it is not in the result. A small ``right`` is broadcast. Of a larger one the
+    keys with more than one ``hot``-th of all weight are, of which there are at most ``hot``; the other keys, none of them
+    hot, are shuffled.
     """
     if small(right, most_rows):
-        return left.join(F.broadcast(right.drop(weight)), on)
+        return left.join(F.broadcast(right.drop(weight)), on, how)
     total = right.agg(F.sum(weight)).first()[0] or 0
     often = F.coalesce(F.col(weight) * hot > total, F.lit(False))
-    top = right.where(often).drop(weight)
-    rest = left.join(F.broadcast(top.select(*on)), on, "left_anti").join(right.where(~often).drop(weight).hint("shuffle_hash"), on)
-    return left.join(F.broadcast(top), on).unionByName(rest)
+    top, rest = right.where(often).drop(weight), right.where(~often).drop(weight)
+    others = left.join(F.broadcast(top.select(*on)), on, "left_anti").join(rest, on, how)
+    return others if how == "left_anti" else left.join(F.broadcast(top), on, how).unionByName(others)
 
 
 @atexit.register
 def _clean() -> None:
-    for spark, path in _written:
+    for path, spark in _written.items():
         try:
-            jvm = spark._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            _delete(spark, path)
         except Exception:  # the context is gone
             return

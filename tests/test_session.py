@@ -1,5 +1,7 @@
 """Written stages and counted broadcasts."""
 
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from lumenweave import session as S
@@ -32,6 +34,17 @@ def test_look_up_of_hot_keys(spark):
     right = left.where("w != 'unknown'").groupBy("w").agg(F.count("*").alias("n")).withColumn("x", F.length("w")).where("w is not null")
     expected = sorted(map(tuple, left.join(right.drop("n"), "w").collect()))
     for rows, hot in ((1000, 10), (5, 10), (5, 1), (0, 1000)):
-        got = S.look_up(left, right, ["w"], "n", rows, hot)
+        got = S.look_up(left, right, ["w"], "n", "inner", rows, hot)
         assert got.columns == ["w", "i", "x"] and sorted(map(tuple, got.collect())) == expected
+        semi, anti = (sorted(r["i"] for r in S.look_up(left, right, ["w"], "n", how, rows, hot).collect()) for how in ("left_semi", "left_anti"))
+        assert semi == sorted(x[1] for x in expected) and anti == [-2, -1]
     assert S.look_up(left, right.limit(0), ["w"], "n").count() == 0
+
+
+def test_stages_are_deleted(spark):
+    stage = S.materialise(spark.range(10).groupBy((F.col("id") % 3).alias("k")).count())
+    folder = Path(stage._stage.removeprefix("file:"))
+    assert folder.exists() and spark.conf.get(S._CLEANUP) == "false"
+    S.forget(stage, spark.range(1))
+    S.forget(stage)
+    assert not folder.exists()
