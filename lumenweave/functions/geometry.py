@@ -34,8 +34,8 @@ def overlap(a: Column, b: Column) -> Column:
 
 
 def ranges_overlap(low_a: Column, high_a: Column, low_b: Column, high_b: Column, grace: int = 0) -> Column:
-    """Whether two ranges of depths meet within the grace; false where one is missing."""
-    return F.coalesce((low_a - grace <= high_b) & (low_b - grace <= high_a), F.lit(False))
+    """Whether two ranges of depths, each wider by the grace on both sides, meet; false where one is missing."""
+    return F.coalesce((low_a - grace <= high_b + grace) & (low_b - grace <= high_a + grace), F.lit(False))
 
 
 def unit_box(b: Column, width: Column, height: Column) -> Column:

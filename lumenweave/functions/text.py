@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
+from .nouns import singular_phrase
 
 # Sentences and information lists
 
@@ -24,15 +24,17 @@ def sentences(items: Column) -> Column:
 
 def rejoin(parts: Column) -> Column:
     """Texts of sentences: those of one item joined by a blank, in order; items without sentences are gone."""
-    ids = F.array_distinct(F.transform(parts, lambda p: p["item"]))
-    return F.transform(ids, lambda i: F.array_join(F.transform(F.filter(parts, lambda p: p["item"] == i), lambda p: p["sentence"]), " "))
+    ids = lambda x: F.array_distinct(F.transform(x, lambda p: p["item"]))
+    text = lambda x, i: F.array_join(F.transform(F.filter(x, lambda p: p["item"] == i), lambda p: p["sentence"]), " ")
+    return F.get(F.transform(F.array(parts), lambda x: F.transform(ids(x), lambda i: text(x, i))), F.lit(0))
 
 
 def split_by_selection(items: Column, selected: Column) -> tuple[Column, Column]:
     """(kept, removed): information without, and of, the sentences whose 0-based numbers are selected; others are ignored."""
     numbered = F.transform(sentences(items), lambda s, i: F.struct(i.alias("i"), s["item"].alias("item"), s["sentence"].alias("sentence")))
-    inside = lambda p: F.array_contains(selected, p["i"])
-    return rejoin(F.filter(numbered, lambda p: ~inside(p))), rejoin(F.filter(numbered, inside))
+    # both are bound once by a lambda; an expression inside the filter would be computed for each sentence
+    once = lambda keep: F.get(F.transform(F.array(F.struct(numbered.alias("all"), selected.alias("chosen"))), lambda x: F.filter(x["all"], lambda p: keep(F.array_contains(x["chosen"], p["i"])))), F.lit(0))
+    return rejoin(once(lambda inside: ~inside)), rejoin(once(lambda inside: inside))
 
 
 def total_length(items: Column) -> Column:
@@ -146,18 +148,6 @@ def multiple_choice(text: Column, seed: Column | str, choices: Column | int = 4)
     return F.when((question != "") & (F.size(options) >= 2), F.struct(question.alias("question"), mixed.alias("options"), F.char(place + 64).alias("answer")))
 
 
-# Styles of the letter before an option.
-OPTION_STYLES = ("A.", "A)", "(A)", "A:", "A -", "[A]", "a.", "a)", "(a)", "1.", "1)", "(1)", "A")
-
-
-def option_line(style: str, place: Column, option: Column) -> Column:
-    """An option after its letter or number in one of the styles."""
-    letter = F.char(place + 65)
-    mark = place + 1 if "1" in style else F.lower(letter) if "a" in style else letter
-    before, after = style.split("1" if "1" in style else "a" if "a" in style else "A")
-    return F.concat(F.lit(before), mark.cast("string"), F.lit(f"{after} "), option)
-
-
 # Labels
 
 # Phrases by which a label is a relation.
@@ -209,20 +199,25 @@ def _flipped(bracket: Column, number: str) -> Column:
 # Counting questions
 
 
+# Rules by which a counting question becomes a statement, in their order. Blanks that are left stay.
+_COUNT_FIRST = ((r"[^\w\s]$", ""), (r"^How many\s+", ""), (r"\bare there\b", ""), (r"\bthat are in\b", "in"), (r"\bthat are\b", ""), (r"\bare\b(?!$)", "that are"), (r"\bare$", ""))
+_COUNT_ONE = ((r"(?<!that)\bis\b ", ""), (r"\bare\b", "is"))
+_COUNT_THEN = ((r"\bhave\b", "that have"), (r"\bdo you\b", "that you"))
+_COUNT_OWNER = r"\bdoes (?:the|this) (.+?) that have\b"
+_COUNT_LAST = ((r"\bcan you see\b", "that you can see"), (r"\bcan be seen\b", "that can be seen"))
+
+
 def count_statement(question: Column, n: Column) -> Column:
-    """A question ``How many ...`` with its answer as a statement; the order of the rules matters."""
-    r = F.regexp_replace
-    t = r(F.trim(question), r"[?.!]+$", "")
-    for pattern, into in ((r"^How many ", ""), (r"\bare there\b", ""), (r"\bthat are in\b", "in"), (r"\bthat are\b", ""), (r"\bare\b(?!$)", "that are"), (r"\bare$", "")):
-        t = r(t, pattern, into)
-    one, none = n == 1, n == 0
-    t = F.when(one, r(r(t, r"(?<!that )\bis ", ""), r"\bare\b", "is")).otherwise(t)
-    for pattern, into in ((r"(?<!that )\bhave\b", "that have"), (r"\bdo you\b", "that you")):
-        t = r(t, pattern, into)
-    t = F.when(one, r(t, r"\b(?:does|do) (the|this) (\S+) have\b", "that $1 $2 has")).otherwise(r(t, r"\b(?:does|do) (the|this) (\S+) have\b", "that $1 $2 have"))
-    for pattern, into in ((r"\bcan you see\b", "that you can see"), (r"\bcan be seen\b", "that can be seen")):
-        t = r(t, pattern, into)
-    said = F.when(none, F.concat(F.lit("There are no "), t)).when(one, F.concat(F.lit("There is 1 "), t)).otherwise(F.concat(F.lit("There are "), n.cast("string"), F.lit(" "), t))
+    """A question ``How many ...`` with its answer as a statement. What one is said of stands in the singular."""
+    def by(t: Column, rules: tuple[tuple[str, str], ...]) -> Column:
+        for pattern, into in rules:
+            t = F.regexp_replace(t, pattern, into)
+        return t
+
+    t = by(question, _COUNT_FIRST)
+    one = F.regexp_replace(singular_phrase(by(by(t, _COUNT_ONE), _COUNT_THEN)), _COUNT_OWNER, "that the $1 has")
+    more = F.regexp_replace(by(t, _COUNT_THEN), _COUNT_OWNER, "that the $1 have")
+    said = F.concat(F.when(n == 0, "There are no ").when(n == 1, "There is 1 ").otherwise(F.concat(F.lit("There are "), n.cast("string"), F.lit(" "))), by(F.when(n == 1, one).otherwise(more), _COUNT_LAST))
     return F.trim(F.replace(said, F.lit("There are no of"), F.lit("There are none of")))
 
 

@@ -17,13 +17,14 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions import geometry as G
-from ..functions.labels import UNCOUNTABLE, format_labels, merge_labels, number_apart, plural, singular, types_of
+from ..functions.labels import format_labels, merge_labels, number_apart, types_of
+from ..functions.nouns import plural
 
 KEYS = ("image_path",)
 #: Cells per side of the grid that keys the overlap join.
@@ -42,14 +43,19 @@ def overlap_pairs(boxes: DataFrame, least: float, keys: tuple[str, ...] = KEYS)
     Boxes are keyed by the cells of a grid that they touch; a pair is taken in the cell of the lower corner of its common part
     alone, so it comes once, and boxes far apart never meet. Coordinates are shares of the picture.
     """
+    joined = _meeting(boxes, "a", "b", keys).where("a < b")
+    return joined.withColumn("iou", G.iou(F.col("a_box"), F.col("b_box"))).where(F.col("iou") > least).select(*keys, "a", "b", "iou")
+
+
+def _meeting(boxes: DataFrame, one: str, two: str, keys: tuple[str, ...], more: dict[str, Column] | None = None) -> DataFrame:
+    """Every two boxes of a picture that share a cell, each pair once: obj_ids ``one`` and ``two``, ``_box``, and ``more`` columns."""
     cell = lambda c: F.least(F.greatest(F.floor(F.col(c) * GRID), F.lit(0)), F.lit(GRID - 1)).cast("int")
     spread = boxes.withColumn("cx", F.explode(F.sequence(cell("x1"), F.greatest(cell("x1"), cell("x2"))))).withColumn("cy", F.explode(F.sequence(cell("y1"), F.greatest(cell("y1"), cell("y2")))))
-    side = lambda n: spread.select(*keys, "cx", "cy", F.col("obj_id").alias(n), F.struct("x1", "y1", "x2", "y2").alias(f"{n}_box"))
-    joined = side("a").join(side("b"), [*keys, "cx", "cy"]).where("a < b")
-    a, b = F.col("a_box"), F.col("b_box")
+    side = lambda n: spread.select(*keys, "cx", "cy", F.col("obj_id").alias(n), F.struct("x1", "y1", "x2", "y2").alias(f"{n}_box"), *[c.alias(f"{n}_{k}") for k, c in (more or {}).items()])
+    joined = side(one).join(side(two), [*keys, "cx", "cy"])
+    a, b = F.col(f"{one}_box"), F.col(f"{two}_box")
     at = lambda c: F.least(F.greatest(F.floor(F.greatest(a[c], b[c]) * GRID), F.lit(0)), F.lit(GRID - 1))
-    here = (at("x1") == F.col("cx")) & (at("y1") == F.col("cy"))
-    return joined.where(here).withColumn("iou", G.iou(a, b)).where(F.col("iou") > least).select(*keys, "a", "b", "iou")
+    return joined.where((at("x1") == F.col("cx")) & (at("y1") == F.col("cy"))).drop("cx", "cy")
 
 
 # Greedy merge
@@ -176,11 +182,11 @@ def containment_pairs(objects: DataFrame, least: float = 0.2, grace: int = 1, ke
     """``(*keys, inner, outer)`` of ``objects(*keys, obj_id, label, x1..y2, depth_low, depth_high)``.
 
     One object lies in another if more than ``least`` of it does, its box is smaller, its first label is another one, and their
-    depths meet within ``grace``. Objects without depths lie in none, so their tree is flat.
+    depths, each wider by ``grace`` on both sides, meet. Objects without depths lie in none, so their tree is flat.
     """
-    side = lambda n: objects.select(*keys, F.col("obj_id").alias(n), F.struct("x1", "y1", "x2", "y2").alias(f"{n}_box"), F.split("label", r" \(")[0].alias(f"{n}_label"), F.col("depth_low").alias(f"{n}_low"), F.col("depth_high").alias(f"{n}_high"))
+    more = {"label": F.split("label", r" \(")[0], "low": F.col("depth_low"), "high": F.col("depth_high")}
+    joined = _meeting(objects.where("x1 is not null and y1 is not null and x2 is not null and y2 is not null"), "inner", "outer", keys, more).where(F.col("inner") != F.col("outer"))
     i, j = F.col("inner_box"), F.col("outer_box")
-    joined = side("inner").join(side("outer"), list(keys)).where(G.overlap(i, j) & (F.col("inner") != F.col("outer")))
     other = ~F.col("inner_label").eqNullSafe(F.col("outer_label"))
     deep = G.ranges_overlap(F.col("inner_low"), F.col("inner_high"), F.col("outer_low"), F.col("outer_high"), grace)
     return joined.where(other & deep & (G.area(i) < G.area(j)) & (G.contained(i, j) > least)).select(*keys, "inner", "outer")
@@ -205,7 +211,7 @@ class Node:
 
 def _meet(a: Node, b: Node, grace: int) -> bool:
     x, y = a.depth_range(), b.depth_range()
-    return x is not None and y is not None and x[0] - grace <= y[1] and y[0] - grace <= x[1]
+    return x is not None and y is not None and x[0] - grace <= y[1] + grace and y[0] - grace <= x[1] + grace
 
 
 def _share_inside(a: list[float], b: list[float]) -> float:
@@ -235,22 +241,35 @@ def _step(value: float, step: float = 0.05) -> float:
     return round(value / step) * step
 
 
-def node_text(n: Node) -> str:
+def _corners(box: list[float]) -> str:
+    return "[" + ", ".join(f"{_step(v):.2f}" for v in box) + "] "
+
+
+def node_text(n: Node, boxes: bool = True, corners: bool = False) -> str:
+    """An object's label with centre, size in per cent and depths (``boxes``), and before them its corners (``corners``)."""
+    if not boxes:
+        return n.label
     x, y = n.center()
     depths = f", Relative Depths: {', '.join(map(str, n.depths))}" if n.depths else ""
-    return f"{n.label} [X: {_step(x):.2f}, Y: {_step(y):.2f}, Pixel Size: {_step(n.size) * 100:.1f}%{depths}]"
+    return f"{n.label} {_corners(n.box) if corners else ''}[X: {_step(x):.2f}, Y: {_step(y):.2f}, Pixel Size: {_step(n.size * 100):.1f}%{depths}]"
+
 
+# Kinds of which no number is told, and the largest number that is.
+NO_NUMBER, MOST_TOLD = ("window", "drink", "tree", "building"), 8
 
-def shown_count(n: int, kind: str) -> str:
-    """A number up to eight, else ``many``; ``several`` for kinds that are plural already or can't be counted."""
-    if kind in UNCOUNTABLE or singular(kind) != kind:
-        return "several"
-    return "many" if n > 8 else str(n)
 
+def shown_count(labels: list[str], kind: str) -> str:
+    """How many objects of a kind there are: ``many`` beyond eight; ``several`` if a label has the kind's plural or it isn't counted."""
+    if len(labels) > MOST_TOLD:
+        return "many"
+    many = plural(kind)
+    return "several" if any(many in label for label in labels) or any(k in kind for k in NO_NUMBER) else str(len(labels))
 
-def _averages(nodes: list[Node]) -> str:
+
+def _averages(nodes: list[Node], corners: bool = False) -> str:
     x, y = (sum(v) / len(nodes) for v in zip(*(n.center() for n in nodes)))
-    return f"[Average X: {_step(x):.2f}, Average Y: {_step(y):.2f}, Average Pixel Size: {sum(n.size for n in nodes) / len(nodes) * 100:.1f}%]"
+    region = _corners([f(n.box[i] for n in nodes) for i, f in enumerate((min, min, max, max))]) if corners else ""
+    return f"{region}[Average X: {_step(x):.2f}, Average Y: {_step(y):.2f}, Average Pixel Size: {sum(n.size for n in nodes) / len(nodes) * 100:.1f}%]"
 
 
 def _near(a: Node, b: Node, most: float) -> bool:
@@ -258,7 +277,7 @@ def _near(a: Node, b: Node, most: float) -> bool:
     return abs(ax - bx) <= most and abs(ay - by) <= most
 
 
-def _level_text(nodes: list[Node], level: int, most: float) -> str:
+def _level_text(nodes: list[Node], level: int, most: float, boxes: bool = True, corners: bool = False) -> str:
     indent = "    " * level + ("-> " if level else "")
     order = sorted(nodes, key=lambda n: (-n.size, sum(n.depths) / len(n.depths) if n.depths else 0))
     kinds: dict[str, list[Node]] = {}
@@ -276,19 +295,19 @@ def _level_text(nodes: list[Node], level: int, most: float) -> str:
             groups.append([n]) if home is None else home.append(n)
         for group in groups:
             if len(group) == 1:
-                blocks.append(_single(group[0], indent, most))
+                blocks.append(_single(group[0], indent, most, boxes, corners))
             elif not any(n.children for n in group):
-                blocks.append(f"{indent}{shown_count(len(group), kind)} ({plural(kind)}) {_averages(group)}")
+                blocks.append(f"{indent}{shown_count([n.label for n in group], kind)} ({plural(kind)}) {_averages(group, corners)}")
             else:
-                inner = "\n".join(_single(n, indent + "    ", most) for n in group)
-                blocks.append(f"{indent}{shown_count(len(group), kind)} ({plural(kind)}) {{\n{inner}\n{indent}}}")
+                inner = "\n".join(_single(n, indent + "    ", most, boxes, corners) for n in group)
+                blocks.append(f"{indent}{shown_count([n.label for n in group], kind)} ({plural(kind)}) {{\n{inner}\n{indent}}}")
     return "\n\n".join(blocks)
 
 
-def _single(n: Node, indent: str, most: float) -> str:
+def _single(n: Node, indent: str, most: float, boxes: bool = True, corners: bool = False) -> str:
     if not n.children:
-        return f"{indent}{node_text(n)} X"
-    return f"{indent}{node_text(n)}, with:\n{_level_text(n.children, len(indent.split('->')[0]) // 4 + 1, most)}"
+        return f"{indent}{node_text(n, boxes, corners)} X"
+    return f"{indent}{node_text(n, boxes, corners)}, with:\n{_level_text(n.children, len(indent.split('->')[0]) // 4 + 1, most, boxes, corners)}"
 
 
 def count_types(nodes: list[Node]) -> Counter:
@@ -300,15 +319,15 @@ def count_types(nodes: list[Node]) -> Counter:
     return out
 
 
-def tree_text(roots: list[Node], most: float = 2.0) -> str:
-    """The tree as text, and the counts of its types. Empty for no objects."""
+def tree_text(roots: list[Node], most: float = 2.0, boxes: bool = True, corners: bool = False) -> str:
+    """The tree as text, and the counts of its types. Empty for no objects. ``boxes`` and ``corners``: see :func:`node_text`."""
     if not roots:
         return ""
     counts = "\n".join(f"\t{plural(k)}: {n}" for k, n in count_types(roots).items())
-    return f"{_level_text(roots, 0, most)}\n\nObject Counts:\n{counts}"
+    return f"{_level_text(roots, 0, most, boxes, corners)}\n\nObject Counts:\n{counts}"
 
 
-def box_trees(objects: DataFrame, keys: tuple[str, ...] = KEYS, first: float = 0.95, second: float = 0.6, inside: float = 0.2, near: float = 2.0) -> DataFrame:
+def box_trees(objects: DataFrame, keys: tuple[str, ...] = KEYS, first: float = 0.95, second: float = 0.6, inside: float = 0.2, near: float = 2.0, with_boxes: bool = True, with_corners: bool = False) -> DataFrame:
     """``(*keys, n_objects, n_roots, text)`` of ``objects(*keys, obj_id, label, x1..y2, depths array<int>)``.
 
     Boxes are merged twice, the second time not across singular and plural; the tree is built from what is left. ``depths``
@@ -323,11 +342,34 @@ def box_trees(objects: DataFrame, keys: tuple[str, ...] = KEYS, first: float = 0
             own = sorted({d for k in c.members for i in once[k].members for d in depths[i]})
             nodes.append(Node(format_labels(merge_labels(c.labels)), c.box, max(c.box[2] - c.box[0], 0) * max(c.box[3] - c.box[1], 0), own))
         roots = build_tree(nodes, inside)
-        return [(len(nodes), len(roots), tree_text(roots, near))]
+        return [(len(nodes), len(roots), tree_text(roots, near, with_boxes, with_corners))]
 
     return by_picture(objects, keys, ("label", "x1", "y1", "x2", "y2", "depths"), text, "n_objects int, n_roots int, text string")
 
 
+def type_counts(objects: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """``(*keys, type, n)``: objects of each type in a picture's tree, of ``objects(*keys, obj_id, label)``. Null labels have no type."""
+
+    def count(items: list[dict]) -> list[tuple]:
+        return sorted(count_types([Node(o["label"], [0.0] * 4, 0.0) for o in items]).items())
+
+    return by_picture(objects.where("label is not null"), keys, ("label",), count, "type string, n int")
+
+
+def group_averages(objects: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """``(*keys, type, n, text)``: number and average text of the objects of each type of a picture, of ``objects(*keys, obj_id, label, x1..y2)``."""
+
+    def averages(items: list[dict]) -> list[tuple]:
+        groups: dict[str, list[Node]] = {}
+        for o in items:
+            box = [o[c] for c in ("x1", "y1", "x2", "y2")]
+            for kind in types_of(o["label"]):
+                groups.setdefault(kind, []).append(Node(o["label"], box, max(box[2] - box[0], 0) * max(box[3] - box[1], 0)))
+        return [(kind, len(nodes), _averages(nodes, True)) for kind, nodes in sorted(groups.items())]
+
+    return by_picture(objects.where("label is not null"), keys, ("label", "x1", "y1", "x2", "y2"), averages, "type string, n int, text string")
+
+
 # Depths
 
 
@@ -376,18 +418,36 @@ def object_depths(depth: np.ndarray, mask: np.ndarray, cuts: tuple[np.ndarray, i
 def with_depths(objects: DataFrame, maps: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """``objects(*keys, obj_id, x1..y2, ...)`` with ``depths``, levels from 0 (near), by ``maps(*keys, depth array<int>, depth_width)``.
 
-    The box stands for the object's mask. An object without a map, or of one without two groups of depths, has no levels.
+    An object's mask is its ``mask`` (packed bits of ``mask_width`` pixels a row, as large as the map) if there is one, else its
+    box. An object without a map, or of one without two groups of depths, has no levels. The objects of a picture become one
+    row before the join, so a map is moved once and its groups are found once.
     """
-    def levels(frame: pd.DataFrame) -> pd.DataFrame:
-        depths: list[list[int]] = [[]] * len(frame)
-        first, width = frame["depth"].iloc[0], frame["depth_width"].iloc[0]
-        if first is not None and width and len(first) >= width:
-            depth = np.array(first)[: len(first) // int(width) * int(width)].reshape(-1, int(width))
-            cuts = depth_cuts(depth)
-            depths = [object_depths(depth, box_mask(b, *depth.shape), cuts) for b in frame[["x1", "y1", "x2", "y2"]].to_numpy(dtype=float)]
-        return frame[[*keys, "obj_id"]].assign(depths=pd.Series(depths, dtype=object, index=frame.index))
-
+    masked = {"mask", "mask_width"} <= set(objects.columns)
+    columns = ("x1", "y1", "x2", "y2", *(("mask", "mask_width") if masked else ()))
+    listed = objects.groupBy(*keys).agg(F.collect_list(F.struct("obj_id", *columns)).alias("_objects"))
+    one = maps.dropDuplicates(list(keys)).where("depth_width > 0 and size(depth) >= depth_width").select(*keys, "depth", "depth_width")
     kinds = ", ".join(f"{k} {objects.schema[k].dataType.simpleString()}" for k in keys)
-    joined = objects.select(*keys, "obj_id", "x1", "y1", "x2", "y2").join(maps.select(*keys, "depth", "depth_width"), list(keys), "left")
-    found = joined.groupBy(*keys).applyInPandas(levels, f"{kinds}, obj_id int, depths array<int>")
-    return objects.join(found, [*keys, "obj_id"], "left")
+    out = [f.type for f in to_arrow_schema(T._parse_datatype_string(f"{kinds}, obj_id int, depths array<int>"))]
+
+    def mask_of(o: dict, height: int, width: int) -> np.ndarray:
+        if masked and o["mask"] is not None and o["mask_width"]:
+            mask = unpack_mask(o["mask"], o["mask_width"])[:height, :width]
+            if mask.shape == (height, width):
+                return mask
+        return box_mask([o[c] for c in ("x1", "y1", "x2", "y2")], height, width)
+
+    def levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple] = []
+            *own, listed_objects, maps_of, widths = (batch.column(i) for i in range(len(keys) + 3))
+            for i, width in enumerate(widths.to_pylist()):
+                values = maps_of[i].values.to_numpy(zero_copy_only=False)
+                depth = values[: len(values) // width * width].reshape(-1, width)
+                cuts = depth_cuts(depth)
+                key = [k[i].as_py() for k in own]
+                rows += [(*key, o["obj_id"], object_depths(depth, mask_of(o, *depth.shape), cuts)) for o in listed_objects[i].as_py()]
+            columns = list(zip(*rows)) if rows else [[] for _ in out]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, out)], names=[*keys, "obj_id", "depths"])
+
+    found = listed.join(one, list(keys)).mapInArrow(levels, f"{kinds}, obj_id int, depths array<int>")
+    return objects.join(found, [*keys, "obj_id"], "left").withColumn("depths", F.coalesce("depths", F.array().cast("array<int>")))

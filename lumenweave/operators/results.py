@@ -6,10 +6,10 @@ be taken for each other, and reading one run reads only its files.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SCHEMA = "image_path string, attempt int, step int, prompt_type string, input array<string>, output array<string>, filtered_out array<string>, error struct<type string, message string>, run_id string"
+SCHEMA = "image_path string, attempt bigint, step int, prompt_type string, input array<string>, output array<string>, filtered_out array<string>, error struct<type string, message string>, run_id string"
 CONVERSATIONS = "array<struct<from string, value string>>"
 
 
@@ -22,10 +22,20 @@ def of_run(results: DataFrame, run_id: str | None) -> DataFrame:
     return results if run_id is None else results.where(F.col("run_id") == run_id)
 
 
-def collect(results: DataFrame, run_id: str | None = None) -> DataFrame:
-    """``(image_path, results)``: steps of each picture in the order of run, attempt and step; of several runs one after the other."""
+def collect(results: DataFrame, run_id: str | None = None, keys: tuple[str, ...] = ("image_path",)) -> DataFrame:
+    """``(*keys, results)``: steps of each picture in the order of run, attempt and step; of several runs one after the other.
+
+    A list is what one picture holds. Where many pictures were filed under one placeholder path, name the attempt in ``keys``
+    too, or take the same steps as ordered rows from :func:`steps`, which makes no lists.
+    """
     entry = F.struct("run_id", "attempt", "step", "prompt_type", "input", "output", "filtered_out")
-    return of_run(results, run_id).where("image_path is not null").groupBy("image_path").agg(F.sort_array(F.collect_list(entry)).alias("results"))
+    return of_run(results, run_id).dropna(subset=list(keys)).groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("results"))
+
+
+def steps(results: DataFrame, run_id: str | None = None) -> DataFrame:
+    """Rows of pictures in the order of picture, run, attempt and step, over sorted ranges: no picture is held whole."""
+    order = ["image_path", "run_id", "attempt", "step"]
+    return of_run(results, run_id).where("image_path is not null").repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def count(results: DataFrame, reservations: DataFrame, run_id: str | None = None) -> DataFrame:
@@ -47,15 +57,32 @@ def clean(results: DataFrame, run_id: str | None = None, empty_only: bool = True
 
 
 def clean_table(spark_results: DataFrame, folder: str, run_id: str | None = None, empty_only: bool = True) -> None:
-    """The same on the stored table: the left rows are written aside and then take the table's place."""
+    """The same on the stored table: what is left is written aside, the table renamed, and what is left takes its place.
+
+    A table that a job left between the two renames is put back by the next call of :func:`restore`.
+    """
     spark = spark_results.sparkSession
-    left, aside = clean(spark_results, run_id, empty_only), f"{folder}/results-cleaned"
-    left.write.mode("overwrite").partitionBy("run_id").parquet(aside)
+    restore(spark, folder)
+    clean(spark_results, run_id, empty_only).write.mode("overwrite").partitionBy("run_id").parquet(f"{folder}/results-cleaned")
+    files, path = _files(spark, folder)
+    files.rename(path("results"), path("results-before"))
+    files.rename(path("results-cleaned"), path("results"))
+    files.delete(path("results-before"), True)
+
+
+def restore(spark: SparkSession, folder: str) -> None:
+    """Ends or undoes a cleaning that was broken off, so that ``results`` is a whole table."""
+    files, path = _files(spark, folder)
+    if files.exists(path("results-before")):
+        if files.exists(path("results")):
+            files.delete(path("results-before"), True)
+        else:
+            files.rename(path("results-before"), path("results"))
+
+
+def _files(spark: SparkSession, folder: str):
     path = spark._jvm.org.apache.hadoop.fs.Path
-    old, new = path(f"{folder}/results"), path(aside)
-    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(old, True)
-    files.rename(new, old)
+    return path(folder).getFileSystem(spark._jsc.hadoopConfiguration()), lambda name: path(f"{folder}/{name}")
 
 
 def first_attempt(results: DataFrame) -> DataFrame:
@@ -94,6 +121,16 @@ def write_json(exported: DataFrame, path: str) -> None:
     exported.select(F.to_json(F.struct("id", "image", "conversations")).alias("value")).write.mode("overwrite").text(path)
 
 
+def write_json_array(exported: DataFrame, path: str) -> None:
+    """One file that is one JSON array, written through the driver a partition at a time; for exports that one file can hold."""
+    lines = exported.select(F.to_json(F.struct("id", "image", "conversations")).alias("value")).toLocalIterator()
+    with open(path, "w", encoding="utf-8") as file:
+        file.write("[")
+        for i, row in enumerate(lines):
+            file.write((",\n" if i else "\n") + row["value"])
+        file.write("\n]\n")
+
+
 def split_errors(results: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(results, dead letters): rows without and with an error."""
     return results.where("error is null"), results.where("error is not null")

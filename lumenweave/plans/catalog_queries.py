@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,8 +13,8 @@ from ..generation.convert import statements
 from ..generation.model import EchoClient
 from ..generation.process import assign_prompts
 from ..generation.prompts import DISTRIBUTIONS
-from ..operators import boxes, catalog
-from ..session import table
+from ..operators import boxes, catalog, results
+from ..session import shared_dir, table
 from .nested_queries import _LISTS, _OBJECTS, _RELS
 
 IMAGESET, DATASET, RUN, SEED = "coco/", "coco_captions", "run_a", "7"
@@ -64,8 +66,14 @@ def pending_images(spark: SparkSession, d: str) -> DataFrame:
 
 
 def reserved_images(spark: SparkSession, d: str) -> DataFrame:
-    """The first 100 pending pictures in the order of claims."""
-    return catalog.first_pictures(pending_images(spark, d), 100, SEED)
+    """Pictures that two claims of a stored catalogue take for one run, of those without a result in it, with the claim's number."""
+    folder = catalog.Catalog(spark, f"{shared_dir(spark)}/catalogue-{uuid.uuid4().hex}")
+    folder.cache(table(spark, d, "annotations"))
+    chats = table(spark, d, "chat_exports").where("image is not null and run_id is not null").select(F.col("image").alias("image_path"), "run_id")
+    done = chats.select("image_path", F.lit(0).cast("bigint").alias("attempt"), F.lit(0).alias("step"), *[F.lit(None).cast(t).alias(c) for c, t in (("prompt_type", "string"), ("input", "array<string>"), ("output", "array<string>"), ("filtered_out", "array<string>"), ("error", "struct<type string, message string>"))], "run_id")
+    results.append(done, folder.folder)
+    claims = [folder.reserve(n, RUN, SEED).select("image_path").distinct().select(F.lit(k).alias("claim"), "image_path") for k, n in enumerate((60, 40))]
+    return claims[0].unionByName(claims[1])
 
 
 def sampled_images(spark: SparkSession, d: str) -> DataFrame:
@@ -117,8 +125,8 @@ def box_overlaps(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _objects(spark: SparkSession, d: str) -> DataFrame:
-    """Boxes with depths; there is no depth model here, so the place in the record stands for it."""
-    return _unit_boxes(spark, d).withColumn("depth_low", F.col("obj_id") % 3).withColumn("depth_high", F.col("depth_low") + 1)
+    """Boxes with depths; there is no depth model here, so numbers that vary with the place in the record stand for it."""
+    return _unit_boxes(spark, d).withColumn("depth_low", F.col("obj_id") * 5 % 9).withColumn("depth_high", F.col("depth_low") + 1)
 
 
 def box_containment(spark: SparkSession, d: str) -> DataFrame:
@@ -147,9 +155,19 @@ def box_steps(spark: SparkSession, d: str) -> DataFrame:
 
 
 def type_counts(spark: SparkSession, d: str) -> DataFrame:
-    """Objects of each type."""
-    types = _unit_boxes(spark, d).where("label is not null").select(F.explode(X.label_types(F.col("label"))).alias("type"))
-    return types.groupBy("type").agg(F.count("*").alias("n"))
+    """Objects of each type in each record's tree."""
+    return boxes.type_counts(_unit_boxes(spark, d), ("ann_id",))
+
+
+def group_averages(spark: SparkSession, d: str) -> DataFrame:
+    """Region and averages, as text, of the boxes of each type of each record."""
+    return boxes.group_averages(_unit_boxes(spark, d), ("ann_id",))
+
+
+def merged_corners(spark: SparkSession, d: str) -> DataFrame:
+    """Corners and sizes of the clusters that the greedy merge makes of each record's boxes."""
+    rows = boxes.merge_boxes(_unit_boxes(spark, d), 0.5, ("ann_id",))
+    return rows.select("ann_id", "obj_id", "n", *[six(c).alias(c) for c in ("x1", "y1", "x2", "y2")])
 
 
 def type_averages(spark: SparkSession, d: str) -> DataFrame:
@@ -183,14 +201,14 @@ def scene_graph_boxes(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (annotation_records, source_counts, drop_imageset, drop_dataset, drop_dataset_alone, merged_catalogue, pending_images, reserved_images, sampled_images, images_listed, information_lines, record_information, enough_information,
-              weighted_prompts, unit_boxes, box_overlaps, box_containment, merged_boxes, box_tree_texts, box_flat_texts, box_steps, type_counts, type_averages, scene_graph_boxes)
+              weighted_prompts, unit_boxes, box_overlaps, box_containment, merged_boxes, merged_corners, box_tree_texts, box_flat_texts, box_steps, type_counts, group_averages, type_averages, scene_graph_boxes)
 }
 
 _ORDER = "('0x' || substr(md5(image_path || '|7'), 1, 8))::BIGINT"
 _REC = "rec AS (SELECT * FROM annotations QUALIFY row_number() OVER (PARTITION BY ann_id ORDER BY loaded_at DESC) = 1)"
 _PENDING = "pend AS (SELECT DISTINCT image_path FROM annotations WHERE image_path IS NOT NULL AND image_path NOT IN (SELECT image FROM chat_exports WHERE image IS NOT NULL))"
 _HELD = "greatest(least({}, 1.0), 0.0)"
-_BOXES = f"""{_REC}, raw AS (SELECT ann_id, g.i - 1 AS obj_id, width, height, bboxes[g.i] AS b FROM rec, range(1, 1000) g(i) WHERE g.i <= len(bboxes)),
+_BOXES = f"""{_REC}, raw AS (SELECT ann_id, g.i - 1 AS obj_id, width, height, bboxes[g.i] AS b FROM rec, unnest(range(1, len(bboxes) + 1)) g(i) WHERE true),
 px AS (SELECT *, greatest(b.x1, b.x2, b.y1, b.y2) > 2 AS pixels FROM raw WHERE b IS NOT NULL),
 sh AS (SELECT ann_id, obj_id, b.label AS label, CASE WHEN pixels THEN b.x1 / nullif(width, 0) ELSE b.x1 END AS p1, CASE WHEN pixels THEN b.x2 / nullif(width, 0) ELSE b.x2 END AS p2, CASE WHEN pixels THEN b.y1 / nullif(height, 0) ELSE b.y1 END AS q1, CASE WHEN pixels THEN b.y2 / nullif(height, 0) ELSE b.y2 END AS q2 FROM px),
 ub AS (SELECT ann_id, obj_id, label, {_HELD.format("least(p1, p2)")} AS x1, {_HELD.format("least(q1, q2)")} AS y1, {_HELD.format("greatest(p1, p2)")} AS x2, {_HELD.format("greatest(q1, q2)")} AS y2 FROM sh WHERE p1 IS NOT NULL AND p2 IS NOT NULL AND q1 IS NOT NULL AND q2 IS NOT NULL)"""
@@ -198,6 +216,10 @@ _COMMON = "(greatest(least(a.x2, b.x2) - greatest(a.x1, b.x1), 0) * greatest(lea
 _AREA = "((({0}.x2 - {0}.x1) * ({0}.y2 - {0}.y1)))"
 _IOU = f"coalesce({_COMMON} / nullif({_AREA.format('a')} + {_AREA.format('b')} - {_COMMON}, 0), 0)"
 
+_TYPES = """ty AS (SELECT *, regexp_replace(CASE WHEN regexp_matches(t, '(?i)(ss|x|zz|ch|sh|[^oa]us)es$') THEN regexp_replace(t, '(?i)es$', '') WHEN regexp_matches(t, '(?i)(glas|scis|trous|jea|shor|pan|compas|harnes|dres|mattres|lens|canvas|cactus|iris)s?(es|sors|ers|ns|ts|ses|s)?$') THEN t ELSE regexp_replace(t, '(?i)([^sui])s$', '\\1') END, '(?i)(..)ies$', '\\1y') AS type
+ FROM (SELECT *, trim(unnest(string_split(split_part(label, '(', 1), ','))) AS t, generate_subscripts(string_split(split_part(label, '(', 1), ','), 1) AS k FROM ub WHERE label IS NOT NULL))"""
+_STEP = "printf('%.2f', round_even(({0}) / 0.05::DOUBLE, 0) * 0.05::DOUBLE)"
+_MEET = "coalesce((greatest(least(a.x2, new[1].x2) - greatest(a.x1, new[1].x1), 0) * greatest(least(a.y2, new[1].y2) - greatest(a.y1, new[1].y1), 0)) / nullif((a.x2 - a.x1) * (a.y2 - a.y1) + (new[1].x2 - new[1].x1) * (new[1].y2 - new[1].y1) - greatest(least(a.x2, new[1].x2) - greatest(a.x1, new[1].x1), 0) * greatest(least(a.y2, new[1].y2) - greatest(a.y1, new[1].y1), 0), 0), 0) > 0.5"
 _TWO = "CASE WHEN {0} IS NULL THEN '?' ELSE printf('%.2f', floor(({0}) * 100 + 0.5) / 100) END"
 SQL = {
     "annotation_records": f"WITH {_REC} SELECT ann_id, image_path, dataset, image_id FROM rec",
@@ -207,18 +229,28 @@ SQL = {
     "drop_dataset_alone": "SELECT DISTINCT ann_id, dataset FROM annotations a WHERE a.image_path IS NULL OR EXISTS (SELECT 1 FROM annotations b WHERE b.image_path = a.image_path AND b.dataset IS DISTINCT FROM 'coco_captions')",
     "merged_catalogue": "SELECT image_path, string_agg(dataset, ',' ORDER BY dataset) AS datasets, count(*)::INT AS n FROM (SELECT DISTINCT image_path, dataset FROM annotations WHERE image_path IS NOT NULL AND dataset IS NOT NULL) GROUP BY image_path",
     "pending_images": f"WITH {_PENDING} SELECT image_path FROM pend",
-    "reserved_images": f"WITH {_PENDING} SELECT image_path FROM pend ORDER BY {_ORDER}, image_path LIMIT 100",
+    "reserved_images": f"""WITH p AS (SELECT DISTINCT image_path FROM annotations WHERE image_path IS NOT NULL AND image_path NOT IN (SELECT image FROM chat_exports WHERE image IS NOT NULL AND run_id = '{RUN}')),
+ o AS (SELECT image_path, row_number() OVER (ORDER BY {_ORDER}, image_path) AS n FROM p) SELECT CASE WHEN n <= 60 THEN 0 ELSE 1 END AS claim, image_path FROM o WHERE n <= 100""",
     "sampled_images": f"SELECT DISTINCT ann_id, image_path FROM annotations WHERE image_path IN (SELECT image_path FROM (SELECT DISTINCT image_path FROM annotations WHERE image_path IS NOT NULL) ORDER BY {_ORDER}, image_path LIMIT 50)",
     "images_listed": "SELECT DISTINCT export_id, image FROM chat_exports WHERE image IN (SELECT image_path FROM annotations WHERE image_path IS NOT NULL)",
-    "information_lines": f"WITH {_REC} SELECT ann_id, dataset, (g.i - 1)::INT AS pos, captions[g.i] AS line FROM rec, range(1, 1000) g(i) WHERE g.i <= len(captions) AND captions[g.i] IS NOT NULL AND trim(captions[g.i]) != ''",
+    "information_lines": f"WITH {_REC} SELECT ann_id, dataset, (g.i - 1)::INT AS pos, captions[g.i] AS line FROM rec, unnest(range(1, len(captions) + 1)) g(i) WHERE true AND captions[g.i] IS NOT NULL AND trim(captions[g.i]) != ''",
     "enough_information": f"WITH {_REC}, s AS (SELECT ann_id, coalesce(list_sum(list_transform(captions, lambda x: coalesce(len(x), 0))), 0)::INT AS n FROM rec) SELECT ann_id, n, n >= 100 AS enough FROM s",
     "weighted_prompts": "SELECT ann_id, CASE WHEN u <= 0.4873 THEN 'llava_complex_reasoning' WHEN u <= 0.4873 + 0.3671 THEN 'llava_conversation' ELSE 'llava_detail' END AS prompt_type FROM (SELECT ann_id, ('0x' || substr(md5(ann_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0::DOUBLE * (0.4873 + 0.3671 + 0.1456)::DOUBLE AS u FROM (SELECT DISTINCT ann_id FROM annotations))",
     "unit_boxes": f"WITH {_BOXES} SELECT ann_id, obj_id, label, (floor((x1) * 1e6 + 0.5) / 1e6) AS x1, (floor((y1) * 1e6 + 0.5) / 1e6) AS y1, (floor((x2) * 1e6 + 0.5) / 1e6) AS x2, (floor((y2) * 1e6 + 0.5) / 1e6) AS y2 FROM ub",
     "box_overlaps": f"WITH {_BOXES} SELECT a.ann_id, a.obj_id AS a, b.obj_id AS b, (floor(({_IOU}) * 1e6 + 0.5) / 1e6) AS iou FROM ub a JOIN ub b ON a.ann_id = b.ann_id AND a.obj_id < b.obj_id WHERE {_IOU} > 0.1",
     "box_containment": f"""WITH {_BOXES} SELECT a.ann_id, a.obj_id AS "inner", b.obj_id AS "outer" FROM ub a JOIN ub b ON a.ann_id = b.ann_id AND a.obj_id != b.obj_id
- WHERE split_part(a.label, ' (', 1) IS DISTINCT FROM split_part(b.label, ' (', 1) AND a.obj_id % 3 - 1 <= b.obj_id % 3 + 1 AND b.obj_id % 3 - 1 <= a.obj_id % 3 + 1 AND {_AREA.format("a")} < {_AREA.format("b")} AND coalesce({_COMMON} / nullif({_AREA.format("a")}, 0), 0) > 0.2""",
+ WHERE split_part(a.label, ' (', 1) IS DISTINCT FROM split_part(b.label, ' (', 1) AND greatest(a.obj_id * 5 % 9 - 1, b.obj_id * 5 % 9 - 1) <= least(a.obj_id * 5 % 9 + 1 + 1, b.obj_id * 5 % 9 + 1 + 1) AND {_AREA.format("a")} < {_AREA.format("b")} AND coalesce({_COMMON} / nullif({_AREA.format("a")}, 0), 0) > 0.2""",
     "box_steps": f"WITH {_BOXES} SELECT ann_id, obj_id, round(round_even(x1 / 0.05::DOUBLE, 0) * 0.05::DOUBLE, 4) AS x1, round(round_even(y1 / 0.05::DOUBLE, 0) * 0.05::DOUBLE, 4) AS y1 FROM ub",
-    "type_counts": f"WITH {_BOXES}, t AS (SELECT trim(unnest(string_split(split_part(label, '(', 1), ','))) AS type FROM ub WHERE label IS NOT NULL) SELECT type, count(*) AS n FROM t GROUP BY type",
+    "type_counts": f"WITH {_BOXES}, {_TYPES} SELECT ann_id, type, count(*)::INT AS n FROM ty GROUP BY ann_id, type",
+    "group_averages": f"""WITH {_BOXES}, {_TYPES}, m AS (SELECT ann_id, type, count(*)::INT AS n, min(x1) AS a, min(y1) AS b, max(x2) AS c, max(y2) AS d, list_sum(list((x1 + x2) / 2 ORDER BY obj_id, k)) / count(*) AS x, list_sum(list(1 - (y1 + y2) / 2 ORDER BY obj_id, k)) / count(*) AS y,
+  list_sum(list((x2 - x1) * (y2 - y1) ORDER BY obj_id, k)) / count(*) * 100 AS s FROM ty GROUP BY ann_id, type)
+ SELECT ann_id, type, n, '[' || {_STEP.format("a")} || ', ' || {_STEP.format("b")} || ', ' || {_STEP.format("c")} || ', ' || {_STEP.format("d")} || '] [Average X: ' || {_STEP.format("x")} || ', Average Y: ' || {_STEP.format("y")} || ', Average Pixel Size: ' || printf('%.1f', s) || '%]' AS text FROM m""",
+    "merged_corners": f"""WITH {_BOXES}, r AS (SELECT ann_id, list_reduce(list([{{'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2, 'n': 1}}] ORDER BY obj_id), lambda done, new:
+  CASE WHEN len(list_filter(done, lambda a: {_MEET})) = 0 THEN list_concat(done, new)
+  ELSE list_transform(done, lambda a, i: CASE WHEN i = list_position(list_transform(done, lambda a: {_MEET}), true)
+   THEN {{'x1': least(a.x1, new[1].x1), 'y1': least(a.y1, new[1].y1), 'x2': greatest(a.x2, new[1].x2), 'y2': greatest(a.y2, new[1].y2), 'n': a.n + 1}} ELSE a END) END) AS c FROM ub GROUP BY ann_id),
+ e AS (SELECT ann_id, unnest(range(len(c)))::INT AS obj_id, unnest(c) AS c FROM r)
+ SELECT ann_id, obj_id, c.n AS n, floor(c.x1 * 1e6 + 0.5) / 1e6 AS x1, floor(c.y1 * 1e6 + 0.5) / 1e6 AS y1, floor(c.x2 * 1e6 + 0.5) / 1e6 AS x2, floor(c.y2 * 1e6 + 0.5) / 1e6 AS y2 FROM e""",
     "type_averages": f"WITH {_BOXES}, m AS (SELECT label, x1, x2, floor((x1 + x2) / 2 * 1e6 + 0.5)::BIGINT AS x, floor((1 - (y1 + y2) / 2) * 1e6 + 0.5)::BIGINT AS y, floor({_AREA.format('ub')} * 1e6 + 0.5)::BIGINT AS s FROM ub WHERE label IS NOT NULL) SELECT label, ((2 * sum(x) + count(*)) // (2 * count(*)))::BIGINT AS x, ((2 * sum(y) + count(*)) // (2 * count(*)))::BIGINT AS y, ((2 * sum(s) + count(*)) // (2 * count(*)))::BIGINT AS size, floor(min(x1) * 1e6 + 0.5) / 1e6 AS \"left\", floor(max(x2) * 1e6 + 0.5) / 1e6 AS \"right\" FROM m GROUP BY label",
     "scene_graph_boxes": f"""WITH {_OBJECTS}, {_LISTS}, {_RELS},
  o AS (SELECT image_id, x.object_id AS object_id, min({{'l': rec_id || '.' || (i - 1), 'x': x.x, 'y': x.y, 'w': x.w, 'h': x.h}}) AS p FROM objs WHERE image_id IS NOT NULL AND x.object_id IS NOT NULL GROUP BY 1, 2),
@@ -227,7 +259,7 @@ SQL = {
  v AS (SELECT image_id, any_value(width) AS width, any_value(height) AS height FROM vg_images WHERE width > 0 AND height > 0 GROUP BY image_id)
  SELECT l.image_id, l.object_id, l.label, floor(p.x / width * 1e6 + 0.5) / 1e6 AS x1, floor(p.y / height * 1e6 + 0.5) / 1e6 AS y1, floor((p.x + p.w) / width * 1e6 + 0.5) / 1e6 AS x2, floor((p.y + p.h) / height * 1e6 + 0.5) / 1e6 AS y2
  FROM (SELECT DISTINCT * FROM l WHERE label IS NOT NULL AND object_id IS NOT NULL) l JOIN o ON l.image_id = o.image_id AND l.object_id = o.object_id JOIN v ON l.image_id = v.image_id""",
-    "box_flat_texts": f"""WITH {_REC}, b AS (SELECT ann_id, g.i AS i, bboxes[g.i] AS b FROM rec, range(1, 1000) g(i) WHERE g.i <= len(bboxes)),
+    "box_flat_texts": f"""WITH {_REC}, b AS (SELECT ann_id, g.i AS i, bboxes[g.i] AS b FROM rec, unnest(range(1, len(bboxes) + 1)) g(i) WHERE true),
  l AS (SELECT ann_id, string_agg('[' || coalesce(b.label, '') || ', ' || {_TWO.format("b.x1")} || ', ' || {_TWO.format("1 - b.y2")} || ', ' || {_TWO.format("b.x2")} || ', ' || {_TWO.format("1 - b.y1")} || ']', chr(10) ORDER BY i) AS t FROM b GROUP BY ann_id)
  SELECT r.ann_id, CASE WHEN t IS NULL THEN '' ELSE 'Boxes with label, left, bottom, right and top, as shares of the picture''s size:' || chr(10) || chr(10) || '=== ' || dataset || ' OCR ===' || chr(10) || t || chr(10) || '=== End of OCR ===' END AS text FROM rec r LEFT JOIN l ON r.ann_id = l.ann_id""",
 }

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..functions.labels import merge_labels
 from ..generation.model import EchoClient
 from ..generation.process import Settings, run
 from ..generation.prompts import DISTRIBUTIONS
 from ..operators import catalog, results
 from ..session import table
-from ..sources.records import majority, pad
+from ..sources.adapters import explained_answer
+from ..sources.records import in_order, majority, pad
 
 
 def _chats(spark: SparkSession, d: str) -> DataFrame:
@@ -21,7 +24,7 @@ def _chats(spark: SparkSession, d: str) -> DataFrame:
 
 def _results(spark: SparkSession, d: str) -> DataFrame:
     """Exported chats as results: the export's number stands for the attempt."""
-    rows = _chats(spark, d).select(F.col("image").alias("image_path"), F.col("export_id").cast("int").alias("attempt"), F.lit(0).alias("step"), "prompt_type", F.array().cast("array<string>").alias("input"), F.col("conversations.value").alias("output"), "run_id")
+    rows = _chats(spark, d).select(F.col("image").alias("image_path"), F.col("export_id").alias("attempt"), F.lit(0).alias("step"), "prompt_type", F.array().cast("array<string>").alias("input"), F.col("conversations.value").alias("output"), "run_id")
     return rows.withColumn("filtered_out", F.lit(None).cast("array<string>"))
 
 
@@ -50,8 +53,15 @@ def conversation_statistics(spark: SparkSession, d: str) -> DataFrame:
 
 
 def collected_results(spark: SparkSession, d: str) -> DataFrame:
-    """Steps of each picture and run: their number, and the first and last attempt. Grouped before anything is collected."""
-    return _results(spark, d).groupBy("run_id", "image_path").agg(F.count("*").alias("n"), F.min("attempt").alias("first"), F.max("attempt").alias("last"))
+    """Of the list of each picture and run: its length, its first and last attempt."""
+    rows = results.collect(_results(spark, d), keys=("run_id", "image_path"))
+    return rows.select("run_id", "image_path", F.size("results").alias("n"), F.get("results", F.lit(0))["attempt"].alias("first"), F.element_at("results", -1)["attempt"].alias("last"))
+
+
+def exported_results(spark: SparkSession, d: str) -> DataFrame:
+    """The export of first attempts of known pictures, but for two prompt types: id, picture, messages and the first of them."""
+    rows = results.export(_results(spark, d), table(spark, d, "annotations").select("image_path"), ("avoidance", "short_answer"))
+    return rows.select("id", "image", F.size("conversations").alias("n"), F.get("conversations", F.lit(0))["from"].alias("role"), F.get("conversations", F.lit(0))["value"].alias("value"))
 
 
 def picture_results(spark: SparkSession, d: str) -> DataFrame:
@@ -61,7 +71,7 @@ def picture_results(spark: SparkSession, d: str) -> DataFrame:
 
 
 def counted_results(spark: SparkSession, d: str) -> DataFrame:
-    """Pictures of each run, with those only claimed: a claim for each picture with an even number of characters in its path."""
+    """Pictures of each run, with those only claimed: for each picture of a run another one, told by ``#2``, is claimed."""
     rows = _results(spark, d)
     return results.count(rows, rows.select("run_id", F.concat("image_path", F.lit("#2")).alias("image_path")).distinct())
 
@@ -115,11 +125,14 @@ def majority_answers(spark: SparkSession, d: str) -> DataFrame:
     return majority(table(spark, d, "events"), ["user_id"], "event_type", "event_id")
 
 
-def contradictions(spark: SparkSession, d: str) -> DataFrame:
-    """Days of users with events of two kinds that exclude each other are left out; of the others the number of events."""
-    e = table(spark, d, "events")
-    per = e.groupBy("user_id", F.to_date("ts").cast("string").alias("day")).agg(F.count("*").alias("n"), F.bool_or(F.col("event_type") == "purchase").alias("p"), F.bool_or(F.col("event_type") == "signup").alias("q"))
-    return per.where("not (p and q)").select("user_id", "day", "n")
+def explained_answers(spark: SparkSession, d: str) -> DataFrame:
+    """Answer of each user's events by the kind of the user: polar ones by two event types, whole values, or types; no contradictions."""
+    kind = F.when(F.col("user_id") % 3 == 0, "yes/no").when(F.col("user_id") % 3 == 1, "number").otherwise("other")
+    polar = F.when(F.col("event_type") == "purchase", "Yes").when(F.col("event_type") == "signup", "no")
+    given = F.when(kind == "yes/no", polar).when(kind == "number", F.floor("value").cast("string")).otherwise(F.col("event_type"))
+    rows = table(spark, d, "events").where("user_id is not null and event_id is not null").select("user_id", "event_id", kind.alias("kind"), given.alias("given"))
+    listed = rows.groupBy("user_id", "kind").agg(in_order(F.col("given"), "event_id").alias("answers"))
+    return listed.select("user_id", explained_answer(F.col("kind"), F.col("answers")).alias("answer")).where("answer is not null")
 
 
 def numeric_modes(spark: SparkSession, d: str) -> DataFrame:
@@ -135,6 +148,18 @@ def label_distances(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("p_partkey", "distance", (F.col("distance") <= most).alias("same"))
 
 
+def merged_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Every two attributes that follow one another somewhere, as the labels that are left of them."""
+
+    @F.pandas_udf("array<string>")
+    def merge(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([merge_labels([x, y]) for x, y in zip(a, b)])
+
+    given = table(spark, d, "vg_attributes").select(F.explode("attributes.attributes").alias("l"))
+    pairs = given.select(F.explode(F.arrays_zip(F.col("l").alias("a"), F.slice("l", 2, 1_000_000_000).alias("b"))).alias("p")).select("p.a", "p.b").where("a is not null and b is not null").distinct()
+    return pairs.select("a", "b", F.array_join(merge("a", "b"), " | ").alias("merged"))
+
+
 def padded_paths(spark: SparkSession, d: str) -> DataFrame:
     """Paths of pictures by ids with zeros before them."""
     return table(spark, d, "vg_images").select("image_id", F.concat(F.lit("coco/train2017/"), pad(F.col("coco_id")), F.lit(".jpg")).alias("path")).where("path is not null").distinct()
@@ -163,58 +188,71 @@ def choices(spark: SparkSession, d: str) -> DataFrame:
 def generated_results(spark: SparkSession, d: str) -> DataFrame:
     """The generation loop over every record's captions with the offline model."""
     rows = catalog.records(table(spark, d, "annotations"), "ann_id").select(F.concat_ws("#", "image_path", "ann_id").alias("image_path"), F.coalesce("captions", F.array().cast("array<string>")).alias("information"))
-    return run(rows, EchoClient, DISTRIBUTIONS["LLaVA"], "offline", Settings(max_count=4)).select("image_path", "step", "prompt_type", "output", "filtered_out", "error")
+    return run(rows, EchoClient, DISTRIBUTIONS["LLaVA"], "offline", Settings()).select("image_path", "step", "prompt_type", "output", "filtered_out", "error")
 
 
 QUERIES = {
     f.__name__: f
-    for f in (conversation_export, first_attempts, qa_pairs, conversation_statistics, collected_results, picture_results, counted_results, cleaned_results, gated_pairs, verdicts, sentence_split, reduced_information, transcripts, content_hashes,
-              majority_answers, contradictions, numeric_modes, label_distances, padded_paths, relation_labels, counting_statements, choices, generated_results)
+    for f in (conversation_export, first_attempts, qa_pairs, conversation_statistics, collected_results, exported_results, picture_results, counted_results, cleaned_results, gated_pairs, verdicts, sentence_split, reduced_information, transcripts, content_hashes,
+              majority_answers, explained_answers, numeric_modes, label_distances, merged_labels, padded_paths, relation_labels, counting_statements, choices, generated_results)
 }
 
 _CHATS = "ch AS (SELECT * FROM chat_exports QUALIFY row_number() OVER (PARTITION BY export_id ORDER BY exported_at) = 1)"
-_TURNS = f"{_CHATS}, t AS (SELECT export_id::INT AS export_id, (g.i - 1)::INT AS turn, conversations[g.i].value AS value, len(conversations) AS n FROM ch, range(1, 1000) g(i) WHERE g.i <= len(conversations))"
+_TURNS = f"{_CHATS}, t AS (SELECT export_id, (g.i - 1)::INT AS turn, conversations[g.i].value AS value, len(conversations) AS n FROM ch, unnest(range(1, len(conversations) + 1)) g(i) WHERE true)"
 _PAIRS = f"{_TURNS}, p AS (SELECT a.export_id, a.turn // 2 AS n, a.value AS question, b.value AS answer FROM t a JOIN t b ON a.export_id = b.export_id AND b.turn = a.turn + 1 WHERE a.turn % 2 = 0)"
 _FIRST = f"{_CHATS}, f AS (SELECT * FROM ch QUALIFY export_id = min(export_id) OVER (PARTITION BY run_id, image))"
 _SPLIT = "SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(text, '([.!?])[\\s\\x{00A0}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{3000}\\x{0085}]+', '\\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x != '') AS s FROM documents WHERE text IS NOT NULL"
 SQL = {
     "conversation_export": f"WITH {_TURNS} SELECT export_id, turn, CASE WHEN turn % 2 = 0 THEN 'human' ELSE 'gpt' END AS role, CASE WHEN turn = 0 THEN '<image>' || chr(10) ELSE '' END || replace(value, '<fill-in-the-blank>', '[blank]') AS value FROM t",
-    "first_attempts": f"WITH {_FIRST} SELECT export_id::INT AS export_id, image AS image_path, run_id, prompt_type FROM f WHERE coalesce(prompt_type, '') NOT IN ('avoidance', 'short_answer') AND image IN (SELECT image_path FROM annotations WHERE image_path IS NOT NULL)",
+    "first_attempts": f"WITH {_FIRST} SELECT export_id, image AS image_path, run_id, prompt_type FROM f WHERE coalesce(prompt_type, '') NOT IN ('avoidance', 'short_answer') AND image IN (SELECT image_path FROM annotations WHERE image_path IS NOT NULL)",
     "qa_pairs": f"WITH {_PAIRS} SELECT export_id, n, question, answer FROM p",
     "conversation_statistics": f"WITH {_FIRST} SELECT count(DISTINCT image) AS n_images, count(*) AS n_conversations, sum(len(conversations))::BIGINT AS n_messages FROM f WHERE len(conversations) > 0 AND run_id IS NOT NULL AND image IS NOT NULL",
-    "collected_results": f"WITH {_CHATS} SELECT run_id, image AS image_path, count(*) AS n, min(export_id)::INT AS \"first\", max(export_id)::INT AS \"last\" FROM ch GROUP BY run_id, image",
-    "picture_results": f"WITH {_CHATS} SELECT image AS image_path, (row_number() OVER (PARTITION BY image ORDER BY run_id NULLS FIRST, export_id) - 1)::INT AS pos, run_id, export_id::INT AS attempt, 0 AS step, prompt_type, coalesce(len(conversations), -1)::INT AS n_messages FROM ch WHERE image IS NOT NULL",
+    "collected_results": f"WITH {_CHATS} SELECT run_id, image AS image_path, count(*)::INT AS n, min(export_id) AS \"first\", max(export_id) AS \"last\" FROM ch WHERE run_id IS NOT NULL AND image IS NOT NULL GROUP BY run_id, image",
+    "exported_results": f"WITH {_FIRST} SELECT 'conversation_' || substr(sha256(run_id || '|' || image || '|' || export_id || '|0'), 1, 16) AS id, image, len(conversations)::INT AS n, 'human' AS role, '<image>' || chr(10) || replace(conversations[1].value, '<fill-in-the-blank>', '[blank]') AS value FROM f WHERE len(conversations) > 0 AND run_id IS NOT NULL AND coalesce(prompt_type, '') NOT IN ('avoidance', 'short_answer') AND image IN (SELECT image_path FROM annotations WHERE image_path IS NOT NULL)",
+    "picture_results": f"WITH {_CHATS} SELECT image AS image_path, (row_number() OVER (PARTITION BY image ORDER BY run_id NULLS FIRST, export_id) - 1)::INT AS pos, run_id, export_id AS attempt, 0 AS step, prompt_type, coalesce(len(conversations), -1)::INT AS n_messages FROM ch WHERE image IS NOT NULL",
     "counted_results": f"WITH {_CHATS} SELECT run_id, 2 * count(DISTINCT image) + (count(*) > count(image))::INT AS n_images, count(DISTINCT image) AS n_empty FROM ch GROUP BY run_id",
     "cleaned_results": f"WITH {_TURNS} SELECT DISTINCT export_id FROM t WHERE len(trim(value)) > 0",
     "gated_pairs": f"WITH {_PAIRS} SELECT export_id, question, answer FROM p WHERE len(trim(coalesce(answer, ''))) > 3 AND export_id IN (SELECT export_id FROM p WHERE n = 0 AND len(trim(coalesce(answer, ''))) > 3)",
-    "verdicts": f"WITH {_TURNS} SELECT export_id::BIGINT AS export_id, turn, regexp_extract(lower(trim(value)), '^(true|false)\\b', 1) = 'true' AS verdict FROM t WHERE regexp_matches(lower(trim(value)), '^(true|false)\\b')",
-    "sentence_split": f"WITH sp AS ({_SPLIT}) SELECT doc_id, (g.i - 1)::INT AS n, s[g.i] AS sentence FROM sp, range(1, 100000) g(i) WHERE g.i <= len(s)",
-    "reduced_information": f"""WITH sp AS ({_SPLIT}), e AS (SELECT doc_id, (g.i - 1) % 3 = 0 AS gone, len(s[g.i]) AS n FROM sp, range(1, 100000) g(i) WHERE g.i <= len(s)),
+    "verdicts": f"WITH {_TURNS} SELECT export_id, turn, regexp_extract(lower(trim(value)), '^(true|false)\\b', 1) = 'true' AS verdict FROM t WHERE regexp_matches(lower(trim(value)), '^(true|false)\\b')",
+    "sentence_split": f"WITH sp AS ({_SPLIT}) SELECT doc_id, (g.i - 1)::INT AS n, s[g.i] AS sentence FROM sp, unnest(range(1, len(s) + 1)) g(i) WHERE true",
+    "reduced_information": f"""WITH sp AS ({_SPLIT}), e AS (SELECT doc_id, (g.i - 1) % 3 = 0 AS gone, len(s[g.i]) AS n FROM sp, unnest(range(1, len(s) + 1)) g(i) WHERE true),
  k AS (SELECT doc_id, coalesce(sum(n) FILTER (NOT gone), 0) + greatest(count(*) FILTER (NOT gone) - 1, 0) AS kept, coalesce(sum(n) FILTER (gone), 0) + greatest(count(*) FILTER (gone) - 1, 0) AS removed FROM e GROUP BY doc_id)
  SELECT d.doc_id, coalesce(kept, 0)::INT AS kept, coalesce(removed, 0)::INT AS removed, round(1 - coalesce(kept, 0)::DOUBLE / nullif(len(text), 0), 6) AS ratio FROM documents d LEFT JOIN k ON d.doc_id = k.doc_id WHERE text IS NOT NULL""",
     "content_hashes": "SELECT substr(sha256(text), 1, 16) AS hash, min(doc_id) AS doc_id, count(*) AS n FROM documents WHERE text IS NOT NULL GROUP BY 1",
     "majority_answers": "SELECT user_id, arg_max(event_type, (n, -f)) AS event_type FROM (SELECT user_id, event_type, count(*) AS n, min(event_id) AS f FROM events WHERE event_type IS NOT NULL GROUP BY 1, 2) GROUP BY user_id",
-    "contradictions": "SELECT user_id, ts::DATE::VARCHAR AS day, count(*) AS n FROM events GROUP BY 1, 2 HAVING NOT (bool_or(event_type = 'purchase') AND bool_or(event_type = 'signup'))",
+    "explained_answers": """WITH g AS (SELECT user_id, event_id, user_id % 3 AS k, CASE user_id % 3 WHEN 0 THEN CASE event_type WHEN 'purchase' THEN 'yes' WHEN 'signup' THEN 'no' END
+  WHEN 1 THEN CASE WHEN floor(value) >= 0 THEN floor(value)::BIGINT::VARCHAR || '.0' END ELSE event_type END AS v FROM events),
+ c AS (SELECT user_id, k, v, count(*) AS n, min(event_id) AS f, count(*) OVER (PARTITION BY user_id) AS kinds FROM g WHERE v IS NOT NULL GROUP BY user_id, k, v)
+ SELECT user_id, arg_max(v, (n, -f)) AS answer FROM c WHERE k != 0 OR kinds = 1 GROUP BY user_id""",
     "numeric_modes": "SELECT user_id, arg_max(v, (n, -f)) AS value FROM (SELECT user_id, floor(value)::BIGINT::VARCHAR AS v, count(*) AS n, min(event_id) AS f FROM events WHERE value IS NOT NULL GROUP BY 1, 2) GROUP BY user_id",
     "label_distances": "SELECT p_partkey, levenshtein(p_name, p_type)::INT AS distance, levenshtein(p_name, p_type) <= greatest(1, floor((len(p_name) + len(p_type)) / 2 * 0.2)) AS same FROM part",
+    "merged_labels": """WITH l AS (SELECT unnest(list_transform(attributes, lambda x: x.attributes)) AS l FROM vg_attributes),
+ p AS (SELECT DISTINCT l[i] AS a, l[i + 1] AS b FROM (SELECT l, unnest(range(1, len(l))) AS i FROM l) WHERE l[i] IS NOT NULL AND l[i + 1] IS NOT NULL),
+ k AS (SELECT a, b, regexp_matches(a, 'next to|on top of|below|above|beside|near|under|over|around|in front of|behind') = regexp_matches(b, 'next to|on top of|below|above|beside|near|under|over|around|in front of|behind') AS same FROM p)
+ SELECT a, b, CASE WHEN same AND (contains(a, b) OR contains(b, a)) THEN CASE WHEN len(b) > len(a) THEN b ELSE a END
+  WHEN same AND levenshtein(a, b) <= greatest(1, floor(0.2 * (len(a) + len(b)) / 2)) THEN CASE WHEN len(b) < len(a) THEN b ELSE a END ELSE a || ' | ' || b END AS merged FROM k""",
     "padded_paths": "SELECT DISTINCT image_id, 'coco/train2017/' || CASE WHEN len(coco_id::VARCHAR) >= 12 THEN coco_id::VARCHAR ELSE lpad(coco_id::VARCHAR, 12, '0') END || '.jpg' AS path FROM vg_images WHERE coco_id IS NOT NULL",
-    "relation_labels": "SELECT DISTINCT ann_id, (g.i - 1)::INT AS n FROM annotations, range(1, 1000) g(i) WHERE g.i <= len(captions) AND regexp_matches(captions[g.i], 'next to|on top of|below|above|beside|near|under|over|around|in front of|behind')",
+    "relation_labels": "SELECT DISTINCT ann_id, (g.i - 1)::INT AS n FROM annotations, unnest(range(1, len(captions) + 1)) g(i) WHERE true AND regexp_matches(captions[g.i], 'next to|on top of|below|above|beside|near|under|over|around|in front of|behind')",
     "transcripts": """WITH s AS (SELECT doc_id, list_filter(string_split(regexp_replace(regexp_replace(text, 'Turn \\d{1,2}\\n', '', 'g'), '\\n\\nQuestion:', chr(1), 'g'), chr(1)), lambda x: true) AS parts, text FROM documents WHERE contains(text, 'Question:')),
- q AS (SELECT doc_id, g.i AS i, CASE WHEN g.i = 1 THEN substr(parts[1], position('Question:' IN parts[1]) + 9) ELSE parts[g.i] END AS x FROM s, range(1, 100000) g(i) WHERE g.i <= len(parts)),
+ q AS (SELECT doc_id, g.i AS i, CASE WHEN g.i = 1 THEN substr(parts[1], position('Question:' IN parts[1]) + 9) ELSE parts[g.i] END AS x FROM s, unnest(range(1, len(parts) + 1)) g(i) WHERE true),
  r AS (SELECT doc_id, i, regexp_extract(x, '(?s)^\\s*(.*?)\\s*\\n\\s*Answer:\\s*(.*)$', 1) AS question, regexp_replace(regexp_extract(x, '(?s)^\\s*(.*?)\\s*\\n\\s*Answer:\\s*(.*)$', 2), '\\s+$', '') AS a, regexp_matches(x, '(?s)^\\s*(.*?)\\s*\\n\\s*Answer:\\s*(.*)$') AS ok FROM q)
  SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1)::INT AS n, question, CASE WHEN len(regexp_split_to_array(a, '\\s+')) < 3 THEN regexp_replace(a, '\\.$', '') ELSE a END AS answer FROM r WHERE ok AND doc_id NOT IN (SELECT doc_id FROM r WHERE ok AND (question = '' OR a = ''))""",
+    # the steps of the rewriting in the survey's order; look-arounds by marks that are set and taken away, the singular by plain endings
     "counting_statements": f"""WITH {_TURNS}, q AS (SELECT export_id, turn, export_id % 4 AS k, regexp_replace(value, '<image>\\n?|\\n?<image>', '', 'g') AS question FROM t),
- a AS (SELECT *, regexp_replace(regexp_replace(trim(question), '[?.!]+$', ''), '^How many ', '') AS x FROM q WHERE starts_with(question, 'How many')),
+ a AS (SELECT *, regexp_replace(regexp_replace(question, '[^\\w\\s]$', ''), '^How many\\s+', '') AS x FROM q WHERE starts_with(question, 'How many')),
  b AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(x, '\\bare there\\b', '', 'g'), '\\bthat are in\\b', 'in', 'g'), '\\bthat are\\b', '', 'g') AS y FROM a),
  c AS (SELECT *, regexp_replace(regexp_replace(y, '\\bare\\b(.)', 'that are\\1', 'g'), '\\bare$', '') AS z FROM b),
  d AS (SELECT *, CASE WHEN k = 1 THEN regexp_replace(replace(regexp_replace(replace(z, 'that is ', chr(2)), '\\bis ', '', 'g'), chr(2), 'that is '), '\\bare\\b', 'is', 'g') ELSE z END AS u FROM c),
- e AS (SELECT *, regexp_replace(replace(regexp_replace(replace(u, 'that have', chr(1)), '\\bhave\\b', 'that have', 'g'), chr(1), 'that have'), '\\bdo you\\b', 'that you', 'g') AS v FROM d),
- f AS (SELECT *, regexp_replace(v, '\\b(?:does|do) (the|this) (\\S+) have\\b', CASE WHEN k = 1 THEN 'that \\1 \\2 has' ELSE 'that \\1 \\2 have' END, 'g') AS w FROM e),
- g AS (SELECT *, regexp_replace(regexp_replace(w, '\\bcan you see\\b', 'that you can see', 'g'), '\\bcan be seen\\b', 'that can be seen', 'g') AS s FROM f)
- SELECT export_id::BIGINT AS export_id, turn, trim(replace(CASE k WHEN 0 THEN 'There are no ' || s WHEN 1 THEN 'There is 1 ' || s ELSE 'There are ' || k || ' ' || s END, 'There are no of', 'There are none of')) AS statement FROM g""",
+ e AS (SELECT *, regexp_replace(regexp_replace(u, '\\bhave\\b', 'that have', 'g'), '\\bdo you\\b', 'that you', 'g') AS v FROM d),
+ f AS (SELECT *, CASE WHEN k = 1 THEN array_to_string(list_transform(string_split(v, ' '), lambda w: CASE WHEN w IN ('people', 'men', 'women', 'children') THEN replace(replace(replace(w, 'people', 'person'), 'children', 'child'), 'men', 'man')
+   WHEN len(w) < 3 OR w IN ('does', 'has', 'was', 'this', 'its', 'glasses', 'trousers', 'scissors', 'jeans') THEN w WHEN regexp_matches(w, '..ies$') THEN regexp_replace(w, 'ies$', 'y')
+   WHEN regexp_matches(w, '(ss|x|zz|ch|sh|[^oa]us)es$') THEN regexp_replace(w, 'es$', '') WHEN regexp_matches(w, '[^sui]s$') THEN regexp_replace(w, 's$', '') ELSE w END), ' ') ELSE v END AS o FROM e),
+ g AS (SELECT *, regexp_replace(o, '\\bdoes (?:the|this) (.+?) that have\\b', CASE WHEN k = 1 THEN 'that the \\1 has' ELSE 'that the \\1 have' END, 'g') AS w FROM f),
+ h AS (SELECT *, regexp_replace(regexp_replace(w, '\\bcan you see\\b', 'that you can see', 'g'), '\\bcan be seen\\b', 'that can be seen', 'g') AS s FROM g)
+ SELECT export_id, turn, trim(replace(CASE k WHEN 0 THEN 'There are no ' || s WHEN 1 THEN 'There is 1 ' || s ELSE 'There are ' || k || ' ' || s END, 'There are no of', 'There are none of')) AS statement FROM h""",
     "choices": f"""WITH {_TURNS}, q AS (SELECT export_id, turn, 'Question: ' || replace(value, '<image>', '') AS x FROM t WHERE regexp_matches(value, '\\nA\\. ')),
  o AS (SELECT *, regexp_extract(x, 'Question:\\s*([^\\n]*)', 1) AS question, regexp_extract_all(x, '(?m)^[A-E]\\.\\s*(.+?)\\s*$', 1)[1:4] AS taken FROM q),
  e AS (SELECT export_id, turn, question, taken, g.i AS i, taken[g.i] AS v FROM o, range(1, 5) g(i) WHERE g.i <= len(taken)),
  m AS (SELECT export_id, turn, question, list(v ORDER BY md5(export_id || '|' || (i - 1) || '|' || v), v) AS options, any_value(taken[1]) AS good, count(*) AS n FROM e GROUP BY 1, 2, 3)
- SELECT export_id::BIGINT AS export_id, turn, question, options, chr((64 + list_position(options, good))::INT) AS answer FROM m WHERE n >= 2 AND question != ''""",
+ SELECT export_id, turn, question, options, chr((64 + list_position(options, good))::INT) AS answer FROM m WHERE n >= 2 AND question != ''""",
 }

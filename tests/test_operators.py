@@ -1,5 +1,6 @@
 """Catalogue, results, boxes, nested tables and the generation loop on small tables."""
 
+import json
 import random
 
 import numpy as np
@@ -153,7 +154,12 @@ def test_tree_text(spark):
     assert len(flat) == 2 and B.tree_text([]) == ""
     nine = [B.Node("cup", np.array([0.1, 0.1, 0.2, 0.2]) + i / 100, 0.01, [0]) for i in range(9)]
     assert B.tree_text(nine).startswith("many (cups) [Average X:")
-    assert [B.shown_count(n, k) for n, k in ((3, "cup"), (9, "cup"), (2, "sheep"), (2, "cups"))] == ["3", "many", "several", "several"]
+    assert [B.shown_count(labels, k) for labels, k in ((["cup"] * 3, "cup"), (["cup"] * 9, "cup"), (["red cups", "cup"], "cup"), (["pair of pants"] * 12, "pants"), (["tall building"] * 2, "tall building"), (["cats"] * 2, "cat"))] == ["3", "many", "several", "many", "several", "several"]
+    n = B.Node("cat", [0.1, 0.2, 0.32, 0.76], 0.123, [1, 2])
+    assert B.node_text(n) == "cat [X: 0.20, Y: 0.50, Pixel Size: 12.3%, Relative Depths: 1, 2]" and B.node_text(n, False) == "cat"
+    assert B.node_text(n, True, True) == "cat [0.10, 0.20, 0.30, 0.75] [X: 0.20, Y: 0.50, Pixel Size: 12.3%, Relative Depths: 1, 2]"
+    assert B._averages([n, B.Node("cat", [0.5, 0.1, 0.9, 0.5], 0.203)], True) == "[0.10, 0.10, 0.90, 0.75] [Average X: 0.45, Average Y: 0.60, Average Pixel Size: 16.3%]"
+    assert [B._meet(B.Node("a", [], 0, [0]), B.Node("b", [], 0, [d]), 1) for d in (1, 2, 3)] == [True, True, False]
     df = _frame(spark, [("p", 0, "cup", 0.0, 0.0, 0.5, 0.5), ("p", 1, None, 0.0, 0.0, 0.5, 0.5)]).withColumn("depths", F.lit(None).cast("array<int>"))
     assert B.box_trees(df).collect()[0]["n_objects"] == 1
 
@@ -293,3 +299,42 @@ def test_converters(spark):
 def test_assigned_prompts(spark):
     shares = {r["prompt_type"]: r["count"] / 5000 for r in P.assign_prompts(spark.range(5000), DISTRIBUTIONS["LLaVA"], "id").groupBy("prompt_type").count().collect()}
     assert all(abs(shares[d["name"]] - d["weight"]) < 0.03 for d in DISTRIBUTIONS["LLaVA"])
+
+
+def test_cleaning_that_was_broken_off(spark, tmp_path):
+    rows = spark.createDataFrame([_result("a", 0, 0, ["q", "a"]), _result("b", 0, 0, [])], R.SCHEMA)
+    R.append(rows, str(tmp_path))
+    (tmp_path / "results").rename(tmp_path / "results-before")
+    R.restore(spark, str(tmp_path))
+    stored = lambda: spark.read.schema(R.SCHEMA).parquet(str(tmp_path / "results"))
+    assert stored().count() == 2
+    R.clean_table(stored(), str(tmp_path))
+    assert [r["image_path"] for r in stored().collect()] == ["a"] and not (tmp_path / "results-before").exists()
+
+
+def test_steps_and_json_array(spark, tmp_path):
+    rows = spark.createDataFrame([_result("b", 1, 0, ["q", "a"]), _result("a", 0, 1, ["q"]), _result("a", 0, 0, ["q", "a"]), _result(None, 0, 0, ["q"])], R.SCHEMA)
+    assert [(r["image_path"], r["step"]) for r in R.steps(rows).collect()] == [("a", 0), ("a", 1), ("b", 0)]
+    R.write_json_array(R.export(rows), str(tmp_path / "x.json"))
+    assert len(json.loads((tmp_path / "x.json").read_text())) == 3
+    R.write_json_array(R.export(rows.limit(0)), str(tmp_path / "y.json"))
+    assert json.loads((tmp_path / "y.json").read_text()) == []
+
+
+def test_depths_by_masks(spark):
+    depth = [[i * 10 + (j >= 8) * 1000 + j for j in range(16)] for i in range(16)]
+    flat = [v for row in depth for v in row]
+    mask = np.zeros((16, 16), dtype=bool)
+    mask[:, 8:] = True
+    objects = spark.createDataFrame([("p", 0, 0.0, 0.0, 0.5, 1.0, None, None), ("p", 1, 0.0, 0.0, 0.5, 1.0, bytearray(np.packbits(mask).tobytes()), 16), ("q", 0, 0.0, 0.0, 1.0, 1.0, None, None)], "image_path string, obj_id int, x1 double, y1 double, x2 double, y2 double, mask binary, mask_width int")
+    maps = spark.createDataFrame([("p", flat, 16), ("p", flat, 16), ("r", [], 0)], "image_path string, depth array<int>, depth_width int")
+    got = {(r["image_path"], r["obj_id"]): r["depths"] for r in B.with_depths(objects, maps).collect()}
+    assert got[("q", 0)] == [] and got[("p", 0)] and got[("p", 1)] and max(got[("p", 1)]) < min(got[("p", 0)])
+
+
+def test_types_of_pictures(spark):
+    boxes = spark.createDataFrame([("p", 0, "cats, dog", 0.0, 0.0, 0.5, 0.5), ("p", 1, "cat (black)", 0.5, 0.5, 1.0, 1.0), ("p", 2, None, 0.0, 0.0, 1.0, 1.0)], "image_path string, obj_id int, label string, x1 double, y1 double, x2 double, y2 double")
+    assert sorted((r["type"], r["n"]) for r in B.type_counts(boxes).collect()) == [("cat", 2), ("dog", 1)]
+    got = {r["type"]: (r["n"], r["text"]) for r in B.group_averages(boxes).collect()}
+    assert got["cat"] == (2, "[0.00, 0.00, 1.00, 1.00] [Average X: 0.50, Average Y: 0.50, Average Pixel Size: 25.0%]") and got["dog"][0] == 1
+    assert B.type_counts(boxes.limit(0)).count() == 0
