@@ -13,12 +13,13 @@ Documents and items that share a MinHash are candidates; each is verified by exa
 empty texts give nothing. Rows without a key are no records.
 
 The items are sent to the tasks only if they have at most ``BROADCAST_WORDS`` words; beyond, both sides meet in a join on
-the MinHash, and candidates are verified after a join with the texts.
+the MinHash, and the windows that share one are verified in a join on their words.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -27,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import broadcast_if_small, materialise
 
 WINDOW, SHINGLE = 13, 5
 #: Items with more words than this in all are joined, not sent to the tasks.
@@ -135,12 +136,23 @@ def leaks(documents: DataFrame, items: DataFrame, window: int = WINDOW, shingle:
     return _by_join(documents, items, window, shingle)
 
 
+_kept: dict[str, Items] = {}
+
+
+def _index(name: str, texts: list[tuple[int, str]], window: int, shingle: int) -> Items:
+    """The index of that name, made once in a worker; only the last one is kept."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = Items(texts, window, shingle)
+    return _kept[name]
+
+
 def _by_broadcast(documents: DataFrame, items: DataFrame, window: int, shingle: int) -> DataFrame:
-    spark = documents.sparkSession
+    spark, name = documents.sparkSession, uuid.uuid4().hex
     sent = spark.sparkContext.broadcast([(r["item_id"], r["text"]) for r in items.collect()])
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index, hasher = Items(sent.value, window, shingle), Hasher()
+        index, hasher = _index(name, sent.value, window, shingle), Hasher()
         for batch in batches:
             docs, words, ends = batch["doc_id"].tolist(), [], []
             for text in batch["text"]:
@@ -170,19 +182,33 @@ def _minhashes(df: DataFrame, key: str, window: int, shingle: int) -> DataFrame:
     return df.mapInPandas(index, f"{key} bigint, minhash bigint")
 
 
-def _by_join(documents: DataFrame, items: DataFrame, window: int, shingle: int) -> DataFrame:
-    """The same for items of any number: candidates by a join on the MinHash, then the exact check."""
-    candidates = _minhashes(documents, "doc_id", window, shingle).join(_minhashes(items, "item_id", window, shingle), "minhash").select("doc_id", "item_id").distinct()
-    pairs = materialise(candidates)
-    texts = pairs.join(documents.withColumnRenamed("text", "doc_text"), "doc_id").join(items.withColumnRenamed("text", "item_text"), "item_id")
+def _windows(df: DataFrame, key: str, window: int, shingle: int, chosen: bool = False) -> DataFrame:
+    """``(key, minhash, whole)`` of the windows of each text, ``whole`` its words; ``chosen``: only of the MinHashes in ``asked``."""
 
-    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hasher = Hasher()
         for batch in batches:
-            keep = []
-            for doc, item in zip(batch["doc_text"], batch["item_text"]):
-                d, i = words_of(doc), words_of(item)
-                there = {tuple(i[k : k + window]) for k in range(len(i) - window + 1)}
-                keep.append(any(tuple(d[k : k + window]) in there for k in range(len(d) - window + 1)))
-            yield batch.loc[np.array(keep, dtype=bool), ["doc_id", "item_id"]]
-
-    return texts.mapInPandas(verify, "doc_id bigint, item_id bigint").distinct()
+            rows = []
+            for i, (k, text) in enumerate(zip(batch[key].tolist(), batch["text"])):
+                words = words_of(text)
+                least = window_minhashes(hasher.words(words), window, shingle).view(np.int64)
+                at = np.flatnonzero(np.isin(least, batch["asked"].iloc[i])) if chosen else np.arange(len(least))
+                rows += {(k, int(least[n]), " ".join(words[n : n + window])) for n in at.tolist()}
+            hasher.forget()
+            yield pd.DataFrame(rows, columns=[key, "minhash", "whole"])
+
+    return df.mapInPandas(cut, f"{key} bigint, minhash bigint, whole string")
+
+
+def _by_join(documents: DataFrame, items: DataFrame, window: int, shingle: int) -> DataFrame:
+    """The same for items of any number: MinHashes of both sides meet, and the windows behind them are compared as they are.
+
+    Of a document only the windows whose MinHash an item has are moved, never its text beside an item's. A window that very
+    many documents have is one key of the last join, whose rows are a number and the window's words; Spark splits it.
+    """
+    of_items = materialise(_windows(items, "item_id", window, shingle).distinct())
+    keys = materialise(of_items.select("minhash").distinct())
+    hits = _minhashes(documents, "doc_id", window, shingle).join(broadcast_if_small(keys), "minhash", "left_semi")
+    asked = materialise(hits.groupBy("doc_id").agg(F.collect_set("minhash").alias("asked")))  # at most the windows of one text
+    found = _windows(documents.join(broadcast_if_small(asked), "doc_id"), "doc_id", window, shingle, True).select("doc_id", "whole").distinct()
+    return found.join(broadcast_if_small(of_items.select("item_id", "whole").distinct()), "whole").select("doc_id", "item_id").distinct()

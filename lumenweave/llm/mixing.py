@@ -15,10 +15,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
+from ..session import broadcast_if_small, materialise
 
-#: Buckets per source. A bucket holds about n / BUCKETS records of the source; raise it for more than 1e9 records.
+#: Least number of ranges of keys (buckets) in a source.
 BUCKETS = 1024
+#: Records for which there is one more range.
+BUCKET_ROWS = 20_000
 SEED = 20
 
 
@@ -73,6 +75,8 @@ def mix(annotations: DataFrame, targets: DataFrame, buckets: int = BUCKETS, seed
     without a key are no records.
     """
     rows = annotations.where("ann_id is not null").select(F.col("ann_id").alias("id"), normal_source(F.col("image_source")).alias("source"), caption_size(F.col("captions")).alias("size")).dropDuplicates(["id"])
+    rows = materialise(rows)  # texts are read once; what follows needs three numbers a record
+    buckets = max(buckets, rows.count() // BUCKET_ROWS)
     total = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("all_size"))
     goals = broadcast_if_small(budgets(targets, total))
     summed = prefix_sums(rows.where("source is not null").withColumn("key", hash_key(F.col("id"), seed)), buckets)

@@ -9,8 +9,8 @@ few rows for each size. Two steps:
 2. Smaller items, in descending size, go to the tightest gap that holds them; a new container is opened if none does.
 
 Both steps work on runs of equal sizes and equal gaps, and give exactly what they give item by item. The plan says for a
-range of ranks among the items of a size in which containers they lie. Ranks are prefix counts over hash buckets, so no
-size, however frequent, is ordered in one task.
+range of ranks among the items of a size in which containers they lie. Ranks are prefix counts over hash buckets, whose number
+grows with the items of a size, so no size, however frequent, is ordered in one task.
 
 A text above the capacity is cut into full pieces and a rest; all others stay whole. Texts without tokens (null, empty) need
 no room: they come out with a null container. Rows without a key are no records; a repeated key counts once.
@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from ..session import broadcast_if_small, materialise
 from .tokens import VOCABULARY, n_tokens
 
-#: Hash buckets in which the items of one size are ranked.
-BUCKETS = 64
+#: Items of one size for which there is one more hash bucket in which they are ranked.
+BUCKET_ROWS = 20_000
 
 Run = tuple[int, int, int, int, int]
 
@@ -136,9 +136,12 @@ def items(sizes: DataFrame, limits: dict[int, int]) -> DataFrame:
     return rows.select("limit_id", "doc_id", "piece_no", "n_pieces", start.alias("token_from"), F.least(F.col("n_tokens") - start, F.col("capacity")).alias("size"))
 
 
-def ranked(pieces: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """``pieces`` with ``rank``, the 0-based place among the pieces of one limit and size, ordered by bucket, document and piece."""
-    keyed = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece_no"), F.lit(buckets)).cast("int"))
+def ranked(pieces: DataFrame, histogram: DataFrame) -> DataFrame:
+    """``pieces`` with ``rank``, the 0-based place among the pieces of one limit and size, ordered by bucket, document and piece.
+
+    ``histogram(limit_id, size, buckets)`` has the number of buckets of each size, which grows with its pieces.
+    """
+    keyed = pieces.join(histogram, ["limit_id", "size"]).withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece_no"), F.col("buckets")).cast("int")).drop("buckets")
     of = ["limit_id", "size", "bucket"]
     before = Window.partitionBy("limit_id", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = keyed.groupBy(*of).count().select(*of, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
@@ -146,7 +149,7 @@ def ranked(pieces: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     return local.join(offsets, of).withColumn("rank", F.col("local") + F.col("offset")).drop("local", "offset", "bucket")
 
 
-def pack(documents: DataFrame, limits: DataFrame, vocabulary: str = VOCABULARY, buckets: int = BUCKETS) -> DataFrame:
+def pack(documents: DataFrame, limits: DataFrame, vocabulary: str = VOCABULARY, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Containers of the texts of ``documents(doc_id, text)`` for each row of ``limits(limit_id, capacity_tokens)``.
 
     Returns ``(limit_id, container_id, doc_id, piece_no, n_pieces, token_from, n_tokens)``; containers of a limit are
@@ -168,7 +171,8 @@ def pack(documents: DataFrame, limits: DataFrame, vocabulary: str = VOCABULARY,
         histogram[r["limit_id"]][r["size"]] = r["count"]
     runs = [(k, *run) for k, c in capacities.items() for run in plan(histogram[k], c)[0]]
     steps = spark.createDataFrame(runs, "limit_id int, size bigint, first_rank bigint, end_rank bigint, first_container bigint, each bigint")
-    placed = ranked(pieces.where("size > 0"), buckets).join(broadcast_if_small(steps), ["limit_id", "size"]).where("rank >= first_rank and rank < end_rank")
+    buckets = [(k, size, max(1, n // bucket_rows)) for k, sizes in histogram.items() for size, n in sizes.items()]
+    placed = ranked(pieces.where("size > 0"), broadcast_if_small(spark.createDataFrame(buckets, "limit_id int, size bigint, buckets bigint"))).join(broadcast_if_small(steps), ["limit_id", "size"]).where("rank >= first_rank and rank < end_rank")
     placed = placed.withColumn("container_id", F.expr("first_container + (rank - first_rank) div each"))
     out = placed.unionByName(pieces.where("size = 0").withColumn("container_id", F.lit(None).cast("bigint")), allowMissingColumns=True)
     return out.select("limit_id", "container_id", "doc_id", "piece_no", "n_pieces", "token_from", F.col("size").alias("n_tokens"))
