@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import functools
 import importlib
 
 from pyspark.sql import SparkSession
@@ -21,6 +22,9 @@ def main(arguments: list[str] | None = None) -> None:
     generate.add_argument("--images", type=int, default=1000)
     generate.add_argument("--distribution", default="LLaVA")
     generate.add_argument("--client", default="lumenweave.generation.model:EchoClient", help="module:factory of the model client")
+    generate.add_argument("--url", help="address of a chat model, taken in place of --client")
+    generate.add_argument("--model", default="default", help="name of the model at the address")
+    generate.add_argument("--key-variable", help="environment variable of the executors that holds the key")
     generate.add_argument("--samples", type=int, default=10, help="most steps of a picture")
     generate.add_argument("--least", type=int, default=10, help="least characters of information")
     for name, text in (("count", "pictures and empty ones of each run"), ("stats", "conversations and messages")):
@@ -33,11 +37,13 @@ def main(arguments: list[str] | None = None) -> None:
     export = commands.add_parser("export", help="write conversations as JSON lines")
     export.add_argument("target")
     export.add_argument("--run", default=None)
+    export.add_argument("--array", action="store_true", help="one file that is one JSON array, on this machine")
     export.add_argument("--without", nargs="*", default=[], help="prompt types to leave out")
     run(parser.parse_args(arguments))
 
 
 def run(a: argparse.Namespace) -> None:
+    from .generation.model import HttpClient
     from .generation.process import Settings
     from .generation.process import run as loop
     from .generation.prompts import DISTRIBUTIONS
@@ -53,7 +59,7 @@ def run(a: argparse.Namespace) -> None:
         return
     if a.command == "generate":
         module, _, name = a.client.partition(":")
-        factory = getattr(importlib.import_module(module), name)
+        factory = functools.partial(HttpClient, a.url, a.model, a.key_variable) if a.url else getattr(importlib.import_module(module), name)
         rows = catalog.reserve(a.images, a.run)
         made = loop(information(rows), factory, DISTRIBUTIONS[a.distribution], a.run, Settings(max_count=a.samples, least_information=a.least))
         results.append(made, a.folder)
@@ -67,7 +73,7 @@ def run(a: argparse.Namespace) -> None:
         results.clean_table(catalog.read("results", results.SCHEMA), a.folder, a.run, a.empty)
     elif a.command == "export":
         good, bad = results.split_errors(stored)
-        results.write_json(results.export(good, without=tuple(a.without)), a.target)
+        (results.write_json_array if a.array else results.write_json)(results.export(good, without=tuple(a.without)), a.target)
         bad.select("image_path", "run_id", F.col("error.type").alias("type"), F.col("error.message").alias("message")).write.mode("overwrite").json(f"{a.target}-errors")
 
 

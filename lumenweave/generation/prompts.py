@@ -111,7 +111,7 @@ def _blank(rng: random.Random) -> Draw:
 
 
 def _read_blank(text: str, d: Draw) -> list[str]:
-    messages = read_pairs(text, -1, "Statement")
+    messages = read_pairs(text, d.turns, "Statement")
     kept = [(q, a) for q, a in zip(messages[::2], messages[1::2]) if BLANK in q]
     if not kept:
         raise ParseError("no blank")
@@ -121,37 +121,45 @@ def _read_blank(text: str, d: Draw) -> list[str]:
 prompt("vqa_fill_in_the_blank", _blank, _read_blank)
 
 
-def _closed(words: tuple[str, str], hint: str) -> tuple[Callable[[random.Random], Draw], Callable[[str, Draw], list[str]]]:
+def _closed(words: tuple[str, str], asks: str, head: str) -> tuple[Callable[[random.Random], Draw], Callable[[str, Draw], list[str]]]:
+    """Pairs that begin with ``head`` and are answered by one of two words; the first stays first and says so, the others are mixed."""
+
     def draw(rng: random.Random) -> Draw:
         n, first = rng.randint(2, 5), rng.randint(0, 1)
         order = ", ".join(words[(first + k) % 2] for k in range(n))
-        return Draw(f"Think first, then write [done], then ask {n} questions about the picture that are answered, in this order, by {order}. {FORM}", n, (rng.getrandbits(32),))
+        form = FORM.replace("Question:", f"{head}:")
+        return Draw(f"Think first, then write [done], then {asks.format(n=n)}, in this order: {order}. {form}", n, (rng.getrandbits(32),))
 
     def read(text: str, d: Draw) -> list[str]:
-        messages = read_pairs(text.rsplit("[done]", 1)[-1], -1)
-        pairs = [(q if hint.lower() in q.lower() else f"{q} {hint}", a) for q, a in zip(messages[::2], messages[1::2])]
-        if not any(a.lower().rstrip(".") in (w.lower() for w in words) for _, a in pairs):
+        messages = read_pairs(text.rsplit("[done]", 1)[-1], d.turns, head)
+        (question, answer), *rest = zip(messages[::2], messages[1::2])
+        if not any(a.lower() in words for a in messages[1::2]):
             raise ParseError("no answer of the two")
-        rest = pairs[1:]
+        if not all(w in question.lower() for w in words):
+            question += f" Answer with {words[0].capitalize()} or {words[1].capitalize()}."
         random.Random(d.extra[0]).shuffle(rest)
-        return [x for p in [pairs[0], *rest] for x in p]
+        return [x for pair in [(question, answer), *rest] for x in pair]
 
     return draw, read
 
 
-prompt("vqa_yes_no", *_closed(("yes", "no"), "Answer yes or no."))
-prompt("vqa_true_false", *_closed(("true", "false"), "Answer true or false."))
+prompt("vqa_yes_no", *_closed(("yes", "no"), "ask {n} questions about the picture that are answered by yes or no", "Question"))
+prompt("vqa_true_false", *_closed(("true", "false"), "make {n} statements about the picture that are true or false", "Statement"))
 
+#: Building stones of questions that a picture can't answer: what they are about, how they are spread, and a model for them.
 _STRATEGIES = ("what a picture can't show", "names and ages that aren't given", "what lies outside the frame", "what happened before", "what people think")
+_SPREADS = ("Begin with a question that can be answered and come to the others step by step.", "Ask one that can be answered, then only others.", "Ask one that can't be answered, then only those that can.", "Begin with those that can't be answered and end with those that can.", "Mix both kinds.", "Ask as many of one kind as of the other.")
+_MODELS = ("At a harbour without a ship one may ask what colour the ship's flag has.", "In a kitchen where soup is stirred one may ask what the radio plays.", "Of a child with a letter one may ask which line it likes best.")
 
 
 def _avoidance(rng: random.Random) -> Draw:
-    return Draw(f"Think first, then write [done], then ask about {rng.choice(_STRATEGIES)}, and answer by saying what can be told instead. {FORM}")
+    n = rng.randint(2, 5)
+    return Draw(f"Think first, then write [done], then ask {n} questions about {rng.choice(_STRATEGIES)}, and answer by saying what can be told instead. {rng.choice(_SPREADS)} {rng.choice(_MODELS)} {FORM}", n)
 
 
 def _read_avoidance(text: str, d: Draw) -> list[str]:
-    messages = read_pairs(text.rsplit("[done]", 1)[-1], -1)
-    kept = [x for q, a in zip(messages[::2], messages[1::2]) if not q.startswith("I see") and q.endswith("?") and "color" not in q.lower() for x in (q, a)]
+    messages = read_pairs(text.rsplit("[done]", 1)[-1], d.turns)
+    kept = [x for q, a in zip(messages[::2], messages[1::2]) if not q.startswith("I see") and q.endswith("?") and "color" not in q for x in (q, a)]
     if not kept:
         raise ParseError("no question is left")
     return kept
@@ -159,29 +167,34 @@ def _read_avoidance(text: str, d: Draw) -> list[str]:
 
 prompt("avoidance", _avoidance, _read_avoidance)
 
-#: Ways to ask for the form of an answer, from parts: who is asked, and for what.
-_ASKED = ("Answer", "Reply", "Respond", "Please answer", "Please reply", "Give your answer")
-_WITH = ("with the letter of the right option", "with the right option's letter only", "by naming the letter", "with one letter", "with the letter and the text of the right option", "with the text of the right option only")
-PHRASINGS = tuple(f"{a} {w}." for a in _ASKED for w in _WITH)
+# Marks of options as (what they are called, the five marks); those that stand twice or more are as often drawn.
+OPTION_MARKS = (
+    ("letter", "A B C D E"), ("letter", "A B C D E"), ("letter", "A B C D E"), ("letter", "a b c d e"), ("letter", "a b c d e"), ("word", "One Two Three Four Five"), ("number", "1 2 3 4 5"), ("number", "1 2 3 4 5"),
+    ("alphanumeric", "A1 B2 C3 D4 E5"), ("roman numeral", "I II III IV V"), ("roman numeral", "I II III IV V"), ("symbol", "✓ ✗ Δ ○ □"), ("phonetic", "Alpha Bravo Charlie Delta Echo"),
+)
+# What stands between a mark and its option.
+OPTION_ENDS = (".", ")", "", "-", ":", ";")
+#: Ways to ask for the form of an answer, from parts: how, and for what; the kind of mark stands for ``{}``.
+_ASKED = ("Answer with", "Reply with", "Respond with", "Please answer with", "Please give only", "Name", "Write down", "Choose")
+_WITH = ("the {} of the right option.", "the right {}.", "the {} that stands before the right answer.", "the {} of your choice.")
+PHRASINGS = tuple(f"{a} {w}" for a in _ASKED for w in _WITH)
 
 
 def _choice(rng: random.Random) -> Draw:
-    n = rng.randint(2, 5)
-    return Draw("Ask one question about the picture with five options in lines that begin with 'A.' to 'E.'; A is right, the others are wrong but likely. Begin the question with 'Question:'.", n, (rng.getrandbits(32), rng.choice(PHRASINGS)))
+    n, (kind, marks) = rng.randint(2, 5), rng.choice(OPTION_MARKS)
+    return Draw("Ask one question about the picture with five options in lines that begin with 'A.' to 'E.'; A is right, the others are wrong but likely. Begin the question with 'Question:'.", n, (rng.getrandbits(32), rng.choice(PHRASINGS).format(kind), tuple(marks.split()), rng.choice(OPTION_ENDS)))
 
 
 def _read_choice(text: str, d: Draw) -> list[str]:
-    question = re.search(r"Question:\s*([^\n]+)", text)
-    options = re.findall(r"(?m)^[A-E]\.\s*(.+?)\s*$", text)
-    if not question or len(options) < 2:
-        raise ParseError("no question with options")
-    taken = options[: d.turns]
-    mixed = list(taken)
-    random.Random(d.extra[0]).shuffle(mixed)
-    letter, whole = chr(65 + mixed.index(taken[0])), d.extra[1]
-    said = taken[0] if "text of the right option only" in whole else f"{letter}. {taken[0]}" if "and the text" in whole else letter
-    lines = "\n".join(f"{chr(65 + i)}. {o}" for i, o in enumerate(mixed))
-    return [f"{question[1].strip()}\n{lines}\n{whole}", said]
+    """Question and asked form, then the options under their marks; the answer is the mark of the right one. All five must be there."""
+    seed, asked, marks, end = d.extra
+    head, *options = re.split(r"\n[A-E]\.\s*", text.partition("Question:")[2])
+    if not head.strip() or len(options) != 5:
+        raise ParseError("no question with five options")
+    order = list(range(d.turns))
+    random.Random(seed).shuffle(order)
+    lines = [f"{mark}{end} {options[i].strip()}" for mark, i in zip(marks, order)]
+    return ["\n".join([f"{head.strip()} {asked}", *lines]), marks[order.index(0)]]
 
 
 prompt("multiple_choice", _choice, _read_choice)

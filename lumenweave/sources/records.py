@@ -69,6 +69,19 @@ def json_map(spark: SparkSession, path: str, value: str) -> DataFrame:
     return text.select(F.explode(F.from_json("value", f"map<string, {value}>")).alias("key", "value"))
 
 
+STORED = "struct<bboxes array<array<string>>, captions array<string>, qa array<string>, image_source string, image_id string, split string, metadata map<string,string>>"
+
+
+def stored_catalogue(spark: SparkSession, path: str) -> DataFrame:
+    """Canonical rows of a catalogue stored as one JSON object, from picture to data set to its fields; boxes are lists of label and corners."""
+    each = json_map(spark, path, f"map<string, {STORED}>").select(F.col("key").alias("image_path"), F.explode("value").alias("dataset", "f"))
+    n = lambda b, i: F.get(b, F.lit(i)).try_cast("double")
+    boxes = F.transform("f.bboxes", lambda b: box(F.get(b, F.lit(0)), n(b, 1), n(b, 2), n(b, 3), n(b, 4)))
+    none = F.array().cast("array<string>")
+    rows = each.select("image_path", "dataset", "f.image_id", "f.image_source", F.coalesce(boxes, F.array().cast(BOXES)).alias("bboxes"), F.coalesce("f.captions", none).alias("captions"), F.coalesce("f.qa", none).alias("qa"), F.lit(None).cast("int").alias("width"), F.lit(None).cast("int").alias("height"), "f.split", "f.metadata")
+    return rows.select(*COLUMNS)
+
+
 def elements(df: DataFrame, column: str, *keep: str) -> DataFrame:
     """Fields of an array's structs with ``pos``, their place."""
     return df.select(*keep, F.posexplode(column).alias("pos", "_e")).select(*keep, "pos", "_e.*")

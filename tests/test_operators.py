@@ -2,6 +2,9 @@
 
 import json
 import random
+import urllib.error
+from http.server import BaseHTTPRequestHandler, HTTPServer
+from threading import Thread
 
 import numpy as np
 import pytest
@@ -10,12 +13,13 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lumenweave.generation import process as P
-from lumenweave.generation.model import EchoClient, ScriptedClient
-from lumenweave.generation.prompts import DISTRIBUTIONS, REGISTRY
+from lumenweave.generation.model import EchoClient, HttpClient, ScriptedClient
+from lumenweave.generation.prompts import DISTRIBUTIONS, OPTION_ENDS, REGISTRY, ParseError
 from lumenweave.operators import boxes as B
 from lumenweave.operators import catalog as C
 from lumenweave.operators import nested as N
 from lumenweave.operators import results as R
+from lumenweave.sources.records import SCHEMA, stored_catalogue
 from lumenweave.streaming import result_stream
 
 
@@ -269,12 +273,68 @@ def test_every_prompt_draws_and_reads():
             draw = prompt.draw(random.Random(seed))
             assert "[information]" in prompt.fill(["x"], draw)
     said = lambda name, text, seed=0: REGISTRY[name].read(text, REGISTRY[name].draw(random.Random(seed)))
-    closed = "thoughts [done]\n" + "\n\n".join(f"Question: Q{i}?\nAnswer: {a}" for i, a in enumerate(("Yes", "No", "Yes")))
-    assert said("vqa_yes_no", closed)[0] == "Q0? Answer yes or no." and len(said("vqa_yes_no", closed)) == 6
-    assert said("vqa_fill_in_the_blank", "Statement: A <fill-in-the-blank> here\nAnswer: cat")[1] == "cat"
-    assert len(said("multiple_choice", "Question: Q?\nA. a\nB. b\nC. c\nD. d\nE. e")) == 2
     assert said("lvis_detail", "[failed]") == [] and said("shikra", "Question: Where?\nAnswer: At [0.1, 0.2, 0.3, 0.4] there.")[1] == "At [0.1, 0.80, 0.3, 0.60] there."
-    assert said("avoidance", "x [done] Question: Who is it?\nAnswer: One can't tell that.")[0] == "Who is it?"
+
+
+@pytest.mark.parametrize("name, head, words, question, answer, first", [
+    ("vqa_yes_no", "Question", ("Yes", "No"), "Is it {}?", None, "Is it 0? Answer with Yes or No."), ("vqa_true_false", "Statement", ("True", "False"), "It is {}.", None, "It is 0. Answer with True or False."),
+    ("vqa_true_false", "Statement", ("True", "False"), "It is {}, true or false?", None, "It is 0, true or false?"), ("avoidance", "Question", None, "Who is {}?", "One can't tell that.", "Who is 0?"), ("vqa_fill_in_the_blank", "Statement", None, "A <fill-in-the-blank> here {}", "cat", None),
+])
+def test_prompts_hold_their_number_of_turns(name, head, words, question, answer, first):
+    prompt = REGISTRY[name]
+    for seed in range(4):
+        draw = prompt.draw(random.Random(seed))
+        pairs = [f"{head}: {question.format(i)}\nAnswer: {answer or words[i % 2]}" for i in range(6)]
+        messages = prompt.read("thoughts [done]\n" + "\n\n".join(pairs[: draw.turns]), draw)
+        assert len(messages) == 2 * draw.turns and (first is None or messages[0] == first) and sum("nswer with" in m for m in messages) <= 1
+        for wrong in (pairs[: draw.turns - 1], pairs[: draw.turns + 1], [x.replace(head, "Other") for x in pairs[: draw.turns]]):
+            with pytest.raises(ParseError):
+                prompt.read("[done]\n" + "\n\n".join(wrong), draw)
+
+
+def test_multiple_choice_in_all_marks():
+    text, kinds = "Question: Which?\nA. right\nB. b\nC. c\nD. d\nE. e", set()
+    for seed in range(200):
+        draw = REGISTRY["multiple_choice"].draw(random.Random(seed))
+        question, answer = REGISTRY["multiple_choice"].read(text, draw)
+        head, *lines = question.split("\n")
+        assert head.startswith("Which? ") and len(lines) == draw.turns and f"{answer}{draw.extra[3]} right" in lines
+        kinds.add((draw.extra[2][0], draw.extra[3]))
+    assert len({k for k, _ in kinds}) == 8 and {e for _, e in kinds} == set(OPTION_ENDS)
+    with pytest.raises(ParseError):
+        REGISTRY["multiple_choice"].read("Question: Which?\nA. right\nB. b", draw)
+
+
+def test_http_client(monkeypatch):
+    asked, answers = [], [(503, b""), (200, json.dumps({"choices": [{"message": {"content": "said"}}]}).encode()), (400, b"")]
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_POST(self):
+            asked.append((self.path, self.headers["Authorization"], json.loads(self.rfile.read(int(self.headers["Content-Length"])))))
+            code, body = answers[len(asked) - 1]
+            self.send_response(code)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *a):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    Thread(target=server.serve_forever, daemon=True).start()
+    monkeypatch.setenv("SOME_KEY", "k")
+    client = HttpClient(f"http://127.0.0.1:{server.server_port}/v1/", "m", "SOME_KEY", wait=0)
+    assert client.generate([{"role": "user", "content": "x"}]) == "said" and len(asked) == 2
+    assert asked[1] == ("/v1/chat/completions", "Bearer k", {"model": "m", "messages": [{"role": "user", "content": "x"}], "temperature": 0.2, "max_tokens": 1000})
+    with pytest.raises(urllib.error.HTTPError):
+        client.generate([])
+    server.shutdown()
+
+
+def test_stored_catalogue(spark, tmp_path):
+    (tmp_path / "c.json").write_text(json.dumps({"a.jpg": {"coco": {"bboxes": [["cat", 0.1, 0.2, 0.3, 0.4]], "captions": ["c"], "image_id": 7}, "gqa": {"qa": ["q a"]}}, "b.jpg": {}}))
+    rows = {(r["image_path"], r["dataset"]): r for r in stored_catalogue(spark, str(tmp_path / "c.json")).collect()}
+    assert set(rows) == {("a.jpg", "coco"), ("a.jpg", "gqa")} and rows[("a.jpg", "coco")]["bboxes"][0]["y2"] == 0.4 and rows[("a.jpg", "coco")]["image_id"] == "7" and rows[("a.jpg", "gqa")]["captions"] == [] and rows[("a.jpg", "gqa")]["qa"] == ["q a"]
+    C.merge(stored_catalogue(spark, str(tmp_path / "c.json")), spark.createDataFrame([], SCHEMA)).count()
 
 
 def test_run_is_the_same_for_any_partitions(spark):
