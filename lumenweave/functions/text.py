@@ -98,8 +98,8 @@ def first_pair_gate(pairs: Column, verdicts: Column) -> Column:
 
 
 def after_thinking(text: Column, mark: str) -> Column:
-    """What comes after the last mark of the end of the thinking, or the whole text."""
-    return F.trim(F.when(F.contains(text, F.lit(mark)), F.substring_index(text, mark, -1)).otherwise(text))
+    """What comes after the last mark of the end of the thinking, or the whole text, without white space of any kind around it."""
+    return F.regexp_replace(F.when(F.contains(text, F.lit(mark)), F.substring_index(text, mark, -1)).otherwise(text), r"(?U)^\s+|\s+$", "")
 
 
 def verdict(text: Column) -> Column:
@@ -109,9 +109,9 @@ def verdict(text: Column) -> Column:
 
 
 def selection(text: Column) -> Column:
-    """Numbers in the first brackets of a text; null without brackets."""
+    """Numbers in the first brackets of a text; null without brackets. Numbers that are too large for a place are left out."""
     inside = F.regexp_extract(text, r"\[([^\]]*)\]", 1)
-    return F.when(F.regexp_instr(text, F.lit(r"\[[^\]]*\]")) > 0, F.transform(F.regexp_extract_all(inside, F.lit(r"(\d+)"), F.lit(1)), lambda n: n.cast("int")))
+    return F.when(F.regexp_instr(text, F.lit(r"\[[^\]]*\]")) > 0, F.filter(F.transform(F.regexp_extract_all(inside, F.lit(r"(\d+)"), F.lit(1)), lambda n: n.try_cast("int")), lambda n: n.isNotNull()))
 
 
 def answer_hint(question: Column, hint: str) -> Column:

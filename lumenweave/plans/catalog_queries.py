@@ -17,7 +17,7 @@ from ..operators import boxes, catalog, results
 from ..session import shared_dir, table
 from .nested_queries import _LISTS, _OBJECTS, _RELS
 
-IMAGESET, DATASET, RUN, SEED = "coco/", "coco_captions", "run_a", "7"
+IMAGESET, DATASET, RUN, SEED = "coco/", "coco_captions", "run-marten-02", "7"
 
 
 def six(c: Column | str) -> Column:

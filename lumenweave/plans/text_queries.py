@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +14,10 @@ from ..generation.model import EchoClient
 from ..generation.process import Settings, run
 from ..generation.prompts import DISTRIBUTIONS
 from ..operators import catalog, results
-from ..session import table
+from ..session import shared_dir, table
 from ..sources.adapters import explained_answer
 from ..sources.records import in_order, majority, pad
+from ..streaming import result_stream
 
 
 def _chats(spark: SparkSession, d: str) -> DataFrame:
@@ -185,6 +188,80 @@ def choices(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("export_id", "turn", "c.*")
 
 
+def text_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of each document that count as statements and as captions, and the first of either."""
+    lines = {"statement": X.long_lines(F.col("text")), "caption": X.caption_lines(F.col("text"))}
+    rows = table(spark, d, "documents").where("text is not null").select("doc_id", *[c.alias(n) for n, c in lines.items()])
+    return rows.select("doc_id", *[f(F.col(n)).alias(f"{a}_{n}") for n in lines for a, f in (("n", F.size), ("first", lambda c: F.get(c, F.lit(0))))])
+
+
+def kept_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of each export that ask, and those whose question holds a token."""
+    pairs = F.filter(X.pair_up(F.col("output")), lambda p: p["q"].isNotNull())
+    rows = _results(spark, d).select(F.col("attempt").alias("export_id"), pairs.alias("pairs"))
+    return rows.select("export_id", F.size(X.keep_asking(F.col("pairs"), "colour")).alias("n_asking"), F.size(X.keep_token(F.col("pairs"), "What")).alias("n_token"))
+
+
+def label_parts(spark: SparkSession, d: str) -> DataFrame:
+    """What stands in and around the brackets of labels made of a record's data set and source."""
+    label = F.concat(F.col("dataset"), F.lit(" ("), F.col("image_path"), F.lit(") ("), F.col("dataset"), F.lit(")"))
+    rows = catalog.records(table(spark, d, "annotations").select("ann_id", "dataset", "image_path"), "ann_id").select("ann_id", label.alias("l"))
+    return rows.select("ann_id", X.in_parentheses(F.col("l")).alias("inside"), X.without_parentheses(F.col("l")).alias("outside"))
+
+
+def formatted_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Attributes of each entry as one label, the first before the others."""
+    rows = table(spark, d, "vg_attributes").select("rec_id", F.posexplode("attributes").alias("pos", "a")).select("rec_id", "pos", F.array_compact("a.attributes").alias("l"))
+    return rows.where("size(l) > 0").select("rec_id", "pos", X.format_labels(F.col("l")).alias("label")).distinct()
+
+
+def cut_answers(spark: SparkSession, d: str) -> DataFrame:
+    """Messages after the last mark of the end of a thought, and questions with a hint at the form of their answer."""
+    turns = _chats(spark, d).select("export_id", F.posexplode("conversations.value").alias("turn", "value")).where("value is not null")
+    return turns.select("export_id", "turn", X.after_thinking(F.col("value"), "?").alias("after"), X.answer_hint(F.col("value"), "Answer yes or no.").alias("hinted"))
+
+
+def selections(spark: SparkSession, d: str) -> DataFrame:
+    """Numbers in the first brackets of each document, joined."""
+    rows = table(spark, d, "documents").select("doc_id", X.selection(F.col("text")).alias("s")).where("s is not null")
+    return rows.select("doc_id", F.array_join("s", ",").alias("numbers"))
+
+
+def turn_transcripts(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of transcripts with marked turns, of those that have two pairs. A short answer loses its full stop."""
+    pair = lambda i: F.concat(F.lit("Turn "), i.cast("string"), F.lit("\nQuestion: Which of "), F.col("export_id").cast("string"), F.lit("?\nAnswer: "), F.repeat(F.lit("one "), i.cast("int")), F.col("run_id"), F.lit("."))
+    text = F.array_join(F.transform(F.sequence(F.lit(1), (F.col("export_id") % 3 + 1).cast("int")), pair), "\n\n")
+    rows = _chats(spark, d).where("run_id is not null").select("export_id", F.posexplode(X.parse_transcript(text, turns=2)).alias("n", "p"))
+    return rows.select("export_id", "n", F.col("p.q").alias("question"), F.col("p.a").alias("answer"))
+
+
+def stored_results(spark: SparkSession, d: str) -> DataFrame:
+    """Results that a stored table still has after it was written in two parts and the empty ones of one run were cleaned away."""
+    folder, rows = f"{shared_dir(spark)}/results-{uuid.uuid4().hex}", _results(spark, d).where("run_id is not null").withColumn("error", F.lit(None).cast("struct<type string, message string>"))
+    emptied = rows.withColumn("output", F.when(F.col("attempt") % 4 > 0, F.col("output")))
+    for part in (0, 1):
+        results.append(emptied.where(F.col("attempt") % 2 == part), folder)
+    stored = lambda: spark.read.schema(results.SCHEMA).parquet(f"{folder}/results")
+    results.clean_table(stored(), folder, "run-marten-02")
+    return stored().select("run_id", F.col("attempt").alias("export_id"))
+
+
+def dead_letters(spark: SparkSession, d: str) -> DataFrame:
+    """Results with an error, by run and type; a fifth of the results have one."""
+    error = F.when(F.col("attempt") % 5 == 0, F.struct(F.concat(F.lit("type "), F.col("attempt") % 2).alias("type"), F.lit("x").alias("message")))
+    good, bad = results.split_errors(_results(spark, d).withColumn("error", error))
+    return bad.groupBy("run_id", F.col("error.type").alias("type")).agg(F.count("*").alias("n")).unionByName(good.groupBy("run_id").agg(F.count("*").alias("n")).withColumn("type", F.lit("none")))
+
+
+def streamed_results(spark: SparkSession, d: str) -> DataFrame:
+    """Conversations that a stream exported from a results table that was written in two parts, with a run of the stream after each."""
+    folder, rows = f"{shared_dir(spark)}/streamed-{uuid.uuid4().hex}", _results(spark, d).where("run_id is not null and image_path is not null").withColumn("error", F.lit(None).cast("struct<type string, message string>"))
+    for part in (0, 1):
+        results.append(rows.where(F.col("attempt") % 2 == part), folder)
+        result_stream.export(spark, folder, f"{folder}/exported").awaitTermination()
+    return spark.read.parquet(f"{folder}/exported").select("id", "image", F.size("conversations").alias("n"))
+
+
 def generated_results(spark: SparkSession, d: str) -> DataFrame:
     """The generation loop over every record's captions with the offline model."""
     rows = catalog.records(table(spark, d, "annotations"), "ann_id").select(F.concat_ws("#", "image_path", "ann_id").alias("image_path"), F.coalesce("captions", F.array().cast("array<string>")).alias("information"))
@@ -194,7 +271,8 @@ def generated_results(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (conversation_export, first_attempts, qa_pairs, conversation_statistics, collected_results, exported_results, picture_results, counted_results, cleaned_results, gated_pairs, verdicts, sentence_split, reduced_information, transcripts, content_hashes,
-              majority_answers, explained_answers, numeric_modes, label_distances, merged_labels, padded_paths, relation_labels, counting_statements, choices, generated_results)
+              majority_answers, explained_answers, numeric_modes, label_distances, merged_labels, padded_paths, relation_labels, counting_statements, choices, generated_results,
+              text_lines, kept_pairs, label_parts, formatted_labels, cut_answers, selections, turn_transcripts, stored_results, dead_letters, streamed_results)
 }
 
 _CHATS = "ch AS (SELECT * FROM chat_exports QUALIFY row_number() OVER (PARTITION BY export_id ORDER BY exported_at) = 1)"
@@ -231,6 +309,17 @@ SQL = {
  k AS (SELECT a, b, regexp_matches(a, 'next to|on top of|below|above|beside|near|under|over|around|in front of|behind') = regexp_matches(b, 'next to|on top of|below|above|beside|near|under|over|around|in front of|behind') AS same FROM p)
  SELECT a, b, CASE WHEN same AND (contains(a, b) OR contains(b, a)) THEN CASE WHEN len(b) > len(a) THEN b ELSE a END
   WHEN same AND levenshtein(a, b) <= greatest(1, floor(0.2 * (len(a) + len(b)) / 2)) THEN CASE WHEN len(b) < len(a) THEN b ELSE a END ELSE a || ' | ' || b END AS merged FROM k""",
+    "text_lines": """WITH l AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: len(trim(x)) > 10) AS s, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x != '') AS c FROM documents WHERE text IS NOT NULL)
+ SELECT doc_id, len(s)::INT AS n_statement, s[1] AS first_statement, len(c)::INT AS n_caption, c[1] AS first_caption FROM l""",
+    "kept_pairs": f"WITH {_PAIRS} SELECT ch.export_id, (count(*) FILTER (question NOT LIKE 'I see%' AND question LIKE '%?' AND NOT contains(lower(question), 'colour')))::INT AS n_asking, (count(*) FILTER (contains(question, 'What')))::INT AS n_token FROM ch LEFT JOIN p ON ch.export_id = p.export_id GROUP BY ch.export_id",
+    "label_parts": "SELECT DISTINCT ann_id, nullif(split_part(split_part(l, '(', 2), ')', 1), '') AS inside, trim(split_part(l, ' (', 1)) AS outside FROM (SELECT ann_id, dataset || ' (' || image_path || ') (' || dataset || ')' AS l FROM annotations WHERE ann_id IS NOT NULL)",
+    "formatted_labels": "WITH e AS (SELECT rec_id, unnest(range(len(attributes)))::INT AS pos, unnest(attributes) AS a FROM vg_attributes), l AS (SELECT rec_id, pos, list_filter(a.attributes, lambda x: x IS NOT NULL) AS l FROM e) SELECT DISTINCT rec_id, pos, l[1] || CASE WHEN len(l) > 1 THEN ' (' || array_to_string(list_transform(l[2:], lambda x: trim(x)), ', ') || ')' ELSE '' END AS label FROM l WHERE len(l) > 0",
+    "cut_answers": f"WITH {_TURNS} SELECT export_id, turn, trim(string_split(value, '?')[-1]) AS after, CASE WHEN contains(lower(value), 'answer yes or no.') THEN value ELSE value || ' Answer yes or no.' END AS hinted FROM t WHERE value IS NOT NULL",
+    "selections": r"SELECT DISTINCT doc_id, array_to_string(list_filter(list_transform(regexp_extract_all(regexp_extract(text, '\[([^\]]*)\]', 1), '[0-9]+'), lambda x: try_cast(x AS INT)), lambda x: x IS NOT NULL), ',') AS numbers FROM documents WHERE regexp_matches(text, '\[[^\]]*\]')",
+    "turn_transcripts": f"WITH {_CHATS} SELECT export_id, n, 'Which of ' || export_id || '?' AS question, CASE n WHEN 0 THEN 'one ' || run_id ELSE 'one one ' || run_id || '.' END AS answer FROM ch, (VALUES (0), (1)) v(n) WHERE run_id IS NOT NULL AND export_id % 3 = 1",
+    "stored_results": f"WITH {_CHATS} SELECT run_id, export_id FROM ch WHERE run_id IS NOT NULL AND NOT (run_id = 'run-marten-02' AND (export_id % 4 = 0 OR conversations IS NULL OR len(conversations) = 0))",
+    "dead_letters": f"WITH {_CHATS} SELECT run_id, CASE WHEN export_id % 5 = 0 THEN 'type ' || export_id % 2 ELSE 'none' END AS type, count(*) AS n FROM ch GROUP BY 1, 2",
+    "streamed_results": f"WITH {_CHATS} SELECT 'conversation_' || substr(sha256(run_id || '|' || image || '|' || export_id || '|0'), 1, 16) AS id, image, len(conversations)::INT AS n FROM ch WHERE len(conversations) > 0 AND run_id IS NOT NULL AND image IS NOT NULL",
     "padded_paths": "SELECT DISTINCT image_id, 'coco/train2017/' || CASE WHEN len(coco_id::VARCHAR) >= 12 THEN coco_id::VARCHAR ELSE lpad(coco_id::VARCHAR, 12, '0') END || '.jpg' AS path FROM vg_images WHERE coco_id IS NOT NULL",
     "relation_labels": "SELECT DISTINCT ann_id, (g.i - 1)::INT AS n FROM annotations, unnest(range(1, len(captions) + 1)) g(i) WHERE true AND regexp_matches(captions[g.i], 'next to|on top of|below|above|beside|near|under|over|around|in front of|behind')",
     "transcripts": """WITH s AS (SELECT doc_id, list_filter(string_split(regexp_replace(regexp_replace(text, 'Turn \\d{1,2}\\n', '', 'g'), '\\n\\nQuestion:', chr(1), 'g'), chr(1)), lambda x: true) AS parts, text FROM documents WHERE contains(text, 'Question:')),
