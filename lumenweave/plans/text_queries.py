@@ -314,7 +314,7 @@ SQL = {
     "kept_pairs": f"WITH {_PAIRS} SELECT ch.export_id, (count(*) FILTER (question NOT LIKE 'I see%' AND question LIKE '%?' AND NOT contains(lower(question), 'colour')))::INT AS n_asking, (count(*) FILTER (contains(question, 'What')))::INT AS n_token FROM ch LEFT JOIN p ON ch.export_id = p.export_id GROUP BY ch.export_id",
     "label_parts": "SELECT DISTINCT ann_id, nullif(split_part(split_part(l, '(', 2), ')', 1), '') AS inside, trim(split_part(l, ' (', 1)) AS outside FROM (SELECT ann_id, dataset || ' (' || image_path || ') (' || dataset || ')' AS l FROM annotations WHERE ann_id IS NOT NULL)",
     "formatted_labels": "WITH e AS (SELECT rec_id, unnest(range(len(attributes)))::INT AS pos, unnest(attributes) AS a FROM vg_attributes), l AS (SELECT rec_id, pos, list_filter(a.attributes, lambda x: x IS NOT NULL) AS l FROM e) SELECT DISTINCT rec_id, pos, l[1] || CASE WHEN len(l) > 1 THEN ' (' || array_to_string(list_transform(l[2:], lambda x: trim(x)), ', ') || ')' ELSE '' END AS label FROM l WHERE len(l) > 0",
-    "cut_answers": f"WITH {_TURNS} SELECT export_id, turn, trim(string_split(value, '?')[-1]) AS after, CASE WHEN contains(lower(value), 'answer yes or no.') THEN value ELSE value || ' Answer yes or no.' END AS hinted FROM t WHERE value IS NOT NULL",
+    "cut_answers": f"WITH {_TURNS} SELECT export_id, turn, regexp_replace(string_split(value, '?')[-1], '^[\\s\\v\\p{{Z}}]+|[\\s\\v\\p{{Z}}]+$', '', 'g') AS after, CASE WHEN contains(lower(value), 'answer yes or no.') THEN value ELSE value || ' Answer yes or no.' END AS hinted FROM t WHERE value IS NOT NULL",
     "selections": r"SELECT DISTINCT doc_id, array_to_string(list_filter(list_transform(regexp_extract_all(regexp_extract(text, '\[([^\]]*)\]', 1), '[0-9]+'), lambda x: try_cast(x AS INT)), lambda x: x IS NOT NULL), ',') AS numbers FROM documents WHERE regexp_matches(text, '\[[^\]]*\]')",
     "turn_transcripts": f"WITH {_CHATS} SELECT export_id, n, 'Which of ' || export_id || '?' AS question, CASE n WHEN 0 THEN 'one ' || run_id ELSE 'one one ' || run_id || '.' END AS answer FROM ch, (VALUES (0), (1)) v(n) WHERE run_id IS NOT NULL AND export_id % 3 = 1",
     "stored_results": f"WITH {_CHATS} SELECT run_id, export_id FROM ch WHERE run_id IS NOT NULL AND NOT (run_id = 'run-marten-02' AND (export_id % 4 = 0 OR conversations IS NULL OR len(conversations) = 0))",
