@@ -110,6 +110,12 @@ FUNCTION_WORDS = {
     "pt": "o a os as um uma de do da dos das e é são em no na nos nas com por para que quem onde como se ao à mais não perto também",
     "nl": "de het een van en is zijn op in met voor niet dat die wat waar wie hoe er naar ook aan bij staat",
     "pl": "i w na z jest są nie się to że do od po co kto gdzie jak przy obok oraz",
+    "cs": "že který která jsou před není také nebo při vedle kde proč několik něco",
+    "tr": "bir ve bu için çok olan olarak değil gibi daha üzerinde yanında nerede hangi",
+    "da": "og ikke hvad hvor hvorfor eller være noget ved siden står",
+    "fi": "että mitä missä ovat myös vieressä kuvassa hän joka vieressään",
+    "hu": "és nem egy hogy mellett milyen hol vannak ezen képen",
+    "ro": "și este cu pe lângă sunt unde care câți această din pentru",
     "sv": "och i en ett är på med det den som för inte av till vad var hur vem står",
 }
 _LANGUAGES: dict[str, list[str]] = {}

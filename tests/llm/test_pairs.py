@@ -110,6 +110,12 @@ def test_one_word_after_other_text(spark):
     assert got == {(8000 + i, 1) for i in range(len(cut))} | {(8100, 0)}
 
 
+@pytest.mark.parametrize("answer", ["Muž, který stojí před domem, nese košík a není sám.", "Masanın üzerinde bir lamba ve bir sepet var, bu çok eski.", "Manden står ved siden af huset og har ikke noget i hånden.", "Kuvassa on mies, joka istuu pöydän vieressä.", "A férfi egy szék mellett áll, és nem néz ide.", "Omul care este lângă casă ține un coș și o lampă pentru copil."])
+def test_answers_in_more_languages(answer):
+    assert P.rules_of("What is the man next to the house doing?", answer) == ["language"]
+    assert P.rules_of(answer, answer.replace(",", " ").replace("a", "a ", 1) + " lampa 7") in ([], ["copied"])
+
+
 SORRY = "Thank you very much for your question about the picture that you have sent. "
 ASKED = "What is the man in the long green coat doing beside the old stone fountain in the middle of the market?"
 
