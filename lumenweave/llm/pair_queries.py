@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,5 +37,27 @@ def p5_by_source(spark: SparkSession, d: str) -> DataFrame:
     return joined.select("image_source", "n_turns", "n_cut", F.coalesce(F.try_divide(F.col("n_cut"), F.col("n_turns")), F.lit(0.0)).alias("cut_share"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_triggered": p1_triggered, "p5_found": p5_found, "p5_by_source": p5_by_source}
-SQL: dict[str, str] = {}
+def p1_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs that the rules of p1 look at, per export: an answer turn directly after a human turn; and answers that are null or blank."""
+
+    @F.pandas_udf("array<int>")
+    def looked_at(roles: pd.Series, texts: pd.Series) -> pd.Series:
+        out = []
+        for names, values in zip(roles, texts):
+            kinds = [pairs.role_of(n) for n in names]
+            at = [i for i in range(1, len(kinds)) if kinds[i] == 2 and kinds[i - 1] == 1]
+            out.append([len(at), sum(pairs.rules_of(values[i - 1], values[i]) == ["empty"] and not (values[i] or "").strip() for i in at)])
+        return pd.Series(out)
+
+    rows = table(spark, d, "chat_exports").where("export_id is not null and conversations is not null").dropDuplicates(["export_id"])
+    counted = rows.select("export_id", looked_at(F.col("conversations.from"), F.col("conversations.value")).alias("n"))
+    return counted.select("export_id", F.get("n", F.lit(0)).alias("n_pairs"), F.get("n", F.lit(1)).alias("n_blank"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_triggered": p1_triggered, "p1_pairs": p1_pairs, "p5_found": p5_found, "p5_by_source": p5_by_source}
+SQL = {
+    "p1_pairs": """WITH t AS (SELECT export_id, unnest(range(len(conversations))) AS i, unnest(conversations) AS c FROM (SELECT * FROM chat_exports WHERE export_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY export_id ORDER BY exported_at) = 1)),
+ r AS (SELECT export_id, i, c.value AS v, CASE WHEN lower(trim(c."from")) IN ('human', 'user', 'question', 'prompter') THEN 1 WHEN lower(trim(c."from")) IN ('gpt', 'assistant', 'answer', 'model', 'bot') THEN 2 ELSE 0 END AS kind FROM t),
+ p AS (SELECT b.export_id, b.v FROM r a JOIN r b ON a.export_id = b.export_id AND b.i = a.i + 1 WHERE a.kind = 1 AND b.kind = 2)
+ SELECT e.export_id, count(p.export_id)::INT AS n_pairs, (count(*) FILTER (p.export_id IS NOT NULL AND regexp_full_match(coalesce(v, ''), '[\\s\\v\\p{Z}]*')))::INT AS n_blank FROM (SELECT DISTINCT export_id FROM chat_exports WHERE export_id IS NOT NULL AND conversations IS NOT NULL) e LEFT JOIN p ON e.export_id = p.export_id GROUP BY e.export_id""",
+}

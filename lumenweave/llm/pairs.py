@@ -208,6 +208,12 @@ def declines(text: str, question: list[str]) -> bool:
     return balance >= 0
 
 
+def role_of(name: str | None) -> int:
+    """1 for a human turn, 2 for an answer, 0 for any other."""
+    plain = (name or "").strip().lower()
+    return 1 if plain in HUMAN else 2 if plain in ANSWER else 0
+
+
 def words_of(text: str | None) -> list[str]:
     return [t for t in truncation.TOKEN.findall(TAG.sub(" ", text).lower()) if t not in truncation.BREAK] if text else []
 
@@ -261,8 +267,7 @@ def examine(chats: DataFrame) -> DataFrame:
                     name, value = names[start + turn], texts[start + turn]
                     role = roles.get(name)
                     if role is None:
-                        plain = name.strip().lower()
-                        role = roles[name] = 1 if plain in HUMAN else 2 if plain in ANSWER else 0
+                        role = roles[name] = role_of(name)
                     n = len(collector.tails)
                     words = [t for t in collector.add(key, turn, source, value) if t not in breaks] if value else []
                     if role == 2 and before == 1:
