@@ -70,8 +70,11 @@ def _object(path: str, **parts: DataFrame) -> None:
 
 def _map(entries: DataFrame, key: Column, path: str) -> None:
     """One object with an entry for each key."""
-    keyed = entries.select("k", F.concat(F.lit('"'), key, F.lit('":'), "j").alias("j"))
-    keyed.agg(F.concat(F.lit("{"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("k", "j"))), lambda e: e["j"]), ","), F.lit("}")).alias("value")).coalesce(1).write.text(path)
+    ends = entries.sparkSession.createDataFrame([(0, "{"), (2, "}")], "o int, j string").select("o", F.lit(None).cast("bigint").alias("k"), "j")
+    rows = entries.select(F.lit(1).alias("o"), F.col("k").cast("bigint").alias("k"), F.concat(F.lit('"'), key, F.lit('":'), "j").alias("j")).unionByName(ends)
+    rows = rows.repartition(1).sortWithinPartitions("o", "k", "j").withColumn("n", F.monotonically_increasing_id())
+    # the first row is the brace, the next one has no comma
+    rows.select(F.concat(F.when((F.col("o") == 1) & (F.col("n") > 1), ",").otherwise(""), "j").alias("value")).write.text(path)
 
 
 def _lines(entries: DataFrame, path: str) -> None:

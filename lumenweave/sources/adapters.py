@@ -92,7 +92,7 @@ def gqa(spark: SparkSession, root: str) -> DataFrame:
     parts = parts.unionByName(objects.select("*", F.posexplode("attributes").alias("k", "a")).select("image_id", "pos", F.lit(1).alias("part"), "k", place(F.col("a")).alias("b")))
     parts = parts.unionByName(relations.select("image_id", "pos", F.lit(2).alias("part"), "k", place(F.concat_ws(" ", "relation", article, "target_name")).alias("b")))
     boxes = parts.groupBy("image_id").agg(in_order(F.col("b"), "pos", "part", "k").alias("bboxes"))
-    questions = numbered(json_map(spark, f"{root}/gqa/train_balanced_questions.json", "struct<imageId string, question string, fullAnswer string>").select("value.*"))
+    questions = json_map(spark, f"{root}/gqa/train_balanced_questions.json", "struct<imageId string, question string, fullAnswer string>").select("pos", "value.*")
     asked = questions.groupBy(F.col("imageId").alias("image_id")).agg(in_order(F.concat_ws(" ", "question", "fullAnswer"), "pos").alias("qa"))
     rows = graphs.select("image_id").join(boxes, "image_id", "left").join(asked, "image_id", "left")
     return rows.select(F.concat(F.lit("gqa/images/"), "image_id", F.lit(".jpg")).alias("image_path"), "image_id", F.lit("gqa").alias("image_source"), "bboxes", "qa")

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 BOXES = "array<struct<label string, x1 double, y1 double, x2 double, y2 double>>"
 SCHEMA = f"image_path string, dataset string, image_id string, image_source string, bboxes {BOXES}, captions array<string>, qa array<string>, width int, height int, split string, metadata map<string,string>"
 COLUMNS = ("image_path", "dataset", "image_id", "image_source", "bboxes", "captions", "qa", "width", "height", "split", "metadata")
@@ -64,9 +69,95 @@ def json_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def json_map(spark: SparkSession, path: str, value: str) -> DataFrame:
-    """``(key, value)`` of a JSON file that is one object."""
-    text = spark.read.option("wholetext", True).text(path)
-    return text.select(F.explode(F.from_json("value", f"map<string, {value}>")).alias("key", "value"))
+    """``(pos, key, value)`` of a JSON file that is one object; ``pos`` grows in the order of the file.
+
+    No task holds more of a file than an entry: its splits are cut between entries and the entries written; those that lie
+    in several splits are joined. A first pass tells whether a split begins inside a string, and at which depth.
+    """
+    pieces = spark.read.option("lineSep", ",").text(path).select(F.col("value").cast("binary").alias("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    states, file, inside, depth = {}, None, 0, 0
+    for at in sorted(pieces.mapInArrow(_summaries, "file string, start bigint, odd int, out bigint, `in` bigint").collect(), key=lambda x: (x["file"], x["start"])):
+        if at["file"] != file:
+            file, inside, depth = at["file"], 0, 0
+        states[file, at["start"]] = (len(states), inside, depth)
+        inside, depth = inside ^ at["odd"], depth + at["in" if inside else "out"]
+    cut = materialise(pieces.mapInArrow(lambda batches: _entries(batches, states), "file string, pos bigint, whole boolean, ends boolean, text binary")).withColumn("text", F.col("text").cast("string"))
+    ended = F.coalesce(F.sum(F.col("ends").cast("int")).over(Window.partitionBy("file").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = cut.where("not whole").withColumn("entry", ended).groupBy("file", "entry")
+    joined = parts.agg(F.min("pos").alias("pos"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), "").alias("text"))
+    texts = cut.where("whole").select("pos", "text").unionByName(joined.select("pos", "text"))
+    return texts.select("pos", F.explode(F.from_json(F.concat(F.lit("{"), "text", F.lit("}")), f"map<string, {value}>")).alias("key", "value"))
+
+
+#: Bytes of JSON that count for its structure.
+_QUOTE, _COMMA, _OPEN, _CLOSE = 1, 2, 3, 4
+_KIND = np.zeros(256, dtype=np.int8)
+_KIND[list(b'",{[}]')] = [_QUOTE, _COMMA, _OPEN, _OPEN, _CLOSE, _CLOSE]
+_STEP = np.array([0, 0, 0, 1, -1])
+_ESCAPE = re.compile(rb"\\.", re.DOTALL)
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], bytes]]:
+    """``((file, start), text)`` of parts of splits, in order. Pieces end before a comma."""
+    for batch in batches:
+        file, start = batch.column("file").dictionary_encode().indices.to_numpy(), batch.column("start").to_numpy()
+        bounds = np.flatnonzero(np.r_[True, (start[1:] != start[:-1]) | (file[1:] != file[:-1]), True]) if len(start) else []
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            values = batch.column("value").slice(a, b - a).to_pylist()
+            yield (batch.column("file")[int(a)].as_py(), int(start[a])), b",".join(values) + b","
+
+
+def _structure(text: bytes, inside: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places and kinds of the structural bytes, and whether they are in a string, if the text begins in one or not."""
+    kinds = _KIND[np.frombuffer(_ESCAPE.sub(b"__", text) if b"\\" in text else text, dtype=np.uint8)]
+    at = np.flatnonzero(kinds)
+    return at, kinds[at], (np.cumsum(kinds[at] == _QUOTE) + inside) % 2 == 1
+
+
+def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each split: whether its quotes are odd, and by how much the depth grows outside and inside of strings."""
+    found: dict[tuple[str, int], list[int]] = {}
+    for key, text in _runs(batches):
+        own = found.setdefault(key, [0, 0, 0])
+        _, kind, quoted = _structure(text, own[0])
+        own[1] += int(_STEP[kind[~quoted]].sum())
+        own[2] += int(_STEP[kind[quoted]].sum())
+        own[0] = (own[0] + int((kind == _QUOTE).sum())) % 2
+    rows = [(*key, *own) for key, own in found.items()]
+    if rows:
+        file, start, odd, out, within = zip(*rows)
+        yield pa.RecordBatch.from_arrays([pa.array(file), pa.array(start), pa.array(odd, pa.int32()), pa.array(out), pa.array(within)], ["file", "start", "odd", "out", "in"])
+
+
+def _entries(batches: Iterator[pa.RecordBatch], states: dict[tuple[str, int], tuple[int, int, int]]) -> Iterator[pa.RecordBatch]:
+    """Entries of the object; the first and the last text of a split are parts of one."""
+    now, held, n, number, inside, depth = None, [], 0, 0, 0, 0
+
+    def rows(texts: list[bytes], ends: bool) -> pa.RecordBatch:
+        nonlocal n
+        whole = [n + i > 0 and ends for i in range(len(texts))]
+        pos = [(number << 40) + n + i for i in range(len(texts))]
+        n += len(texts)
+        return pa.RecordBatch.from_arrays([pa.array([now[0]] * len(texts)), pa.array(pos), pa.array(whole), pa.array([ends] * len(texts)), pa.array(texts)], ["file", "pos", "whole", "ends", "text"])
+
+    for key, text in _runs(batches):
+        if key != now:
+            if now:
+                yield rows([b"".join(held)], False)
+            now, held, n, (number, inside, depth) = key, [], 0, states[key]
+        at, kind, quoted = _structure(text, inside)
+        inside = (inside + int((kind == _QUOTE).sum())) % 2
+        at, kind = at[~quoted], kind[~quoted]
+        after = depth + np.cumsum(_STEP[kind])
+        depth = int(after[-1]) if len(after) else depth
+        cuts = at[((kind == _COMMA) | (kind == _OPEN)) & (after == 1) | (kind == _CLOSE) & (after == 0)].tolist()
+        texts = [text[a:b] for a, b in zip([0, *[c + 1 for c in cuts]], [*cuts, len(text)])]
+        held.append(texts[0])
+        if cuts:
+            yield rows([b"".join(held), *texts[1:-1]], True)
+            held = [texts[-1]]
+    if now:
+        yield rows([b"".join(held)], False)
 
 
 STORED = "struct<bboxes array<array<string>>, captions array<string>, qa array<string>, image_source string, image_id string, split string, metadata map<string,string>>"

@@ -5,7 +5,8 @@ import json
 import pytest
 
 from lumenweave.operators import catalog  # noqa: F401  (registers the sources)
-from lumenweave.sources.records import COLUMNS, REGISTRY, load
+from lumenweave.plans import source_queries
+from lumenweave.sources.records import COLUMNS, REGISTRY, json_map, load
 
 COCO_CAPTIONS = {"images": [{"id": 1, "file_name": "000000000001.jpg", "width": 100, "height": 50}, {"id": 2, "file_name": "000000000002.jpg", "width": 10, "height": 10}],
                  "annotations": [{"image_id": 1, "caption": "A cat."}, {"image_id": 1, "caption": "On a mat."}]}
@@ -139,3 +140,26 @@ def test_load_unknown(spark, root):
 
 def test_load_several(spark, root):
     assert load(spark, root, ["vsr", "flickr"]).count() == 3
+
+
+@pytest.mark.parametrize("split", ["60", "1m"])
+def test_json_map_of_any_split(spark, tmp_path, split):
+    odd = ["", "a,b", '"', "\\", '\\"', "},{", "[,]", "\n", "é,ü", '\\\\",\\"{', "x" * 90]
+    files = {"a": {f"k{i}{t}": {"t": t, "u": [t, f"{i}"] * (i % 3), "more": {"x": [{}, {"y": None}]}} for i, t in enumerate(odd)}, "b": {}, "c": {"one": {"t": "1"}}}
+    for name, data in files.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps(data, ensure_ascii=name == "c", indent=1 if name == "a" else None))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        df = json_map(spark, f"{tmp_path}/*.json", "struct<t string, u array<string>>")
+        got = [(r["key"], r["value"]["t"], r["value"]["u"]) for r in df.orderBy("pos").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == [(k, v["t"], v.get("u")) for data in files.values() for k, v in data.items()]
+
+
+def test_maps_are_written_entry_by_entry(spark, tmp_path):
+    for n in (0, 1, 5):
+        entries = spark.range(n).selectExpr("id AS k", "'{\"a\":1}' AS j")
+        source_queries._map(entries, source_queries._S("k"), f"{tmp_path}/{n}")
+        (file,) = (tmp_path / str(n)).glob("part-*")
+        assert list(json.loads(file.read_text())) == [str(i) for i in range(n)] and file.read_text().count("\n") == n + 2
